@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, simhash
+from . import bpe, packing, simhash, toxicity
 from .common import table
 
 
@@ -24,6 +24,13 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=1024, end_id=2)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = toxicity.fit(docs, table(spark, sf_dir, "labels"), per_class=1500, max_chars=4000)
+    held = (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out")
+    return toxicity.score(docs, net).select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -31,6 +38,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op8_best_fit": op8_best_fit,
+    "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
 }
 
