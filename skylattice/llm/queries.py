@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, simhash, toxicity
+from . import bpe, packing, secrets, simhash, toxicity
 from .common import table
 
 
@@ -20,6 +20,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("__spans", lambda s: s["kind"] < 3)
+    many = lambda k: F.size(F.filter("__spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", many(0).alias("n_assign"), many(1).alias("n_access"), many(2).alias("n_hex"),
+        F.sha2(secrets.describe(base), 256).alias("base_sha256"), secrets.describe(F.col("__spans")).alias("spans"),
+    )
+
+
 def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=1024, end_id=2)
 
@@ -37,9 +47,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op5_secrets": op5_secrets,
     "op8_best_fit": op8_best_fit,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_secrets": secrets.digest_sql(),
+}
