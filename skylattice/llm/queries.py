@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, secrets, simhash, toxicity
+from . import bpe, packing, secrets, simhash, toxicity, vectors
 from .common import table
 
 
@@ -15,11 +15,19 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_pivot_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), at_least=0.9, near=8, shared=2)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_pivot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("__spans", lambda s: s["kind"] < 3)
@@ -46,7 +54,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pivot_permutation": op1_pivot_permutation,
     "op2_simhash": op2_simhash,
+    "op4_pivot_table": op4_pivot_table,
     "op5_secrets": op5_secrets,
     "op8_best_fit": op8_best_fit,
     "op9_toxicity": op9_toxicity,
@@ -54,5 +64,25 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_pivot_permutation": """
+        with recursive v as (
+            select vec_id, min(cast(embedding as double[])) v from embeddings where vec_id is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 group by vec_id),
+        z as (select * from v where len(list_filter(v, lambda x: x <> 0)) > 0),
+        e as (select a.vec_id a, b.vec_id b from z a join z b on a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.9),
+        r(a, b) as (select a, b from e union select r.a, e.b from r join e on r.b = e.a),
+        l as (select a, count(*) n from e group by a), c as (select a, min(b) c from r group by a)
+        select i.vec_id, coalesce(l.n, 0) n_links, least(i.vec_id, coalesce(c.c, i.vec_id)) component_id,
+            coalesce(i.vec_id <= coalesce(c.c, i.vec_id), true) kept
+        from (select distinct vec_id from embeddings) i left join l on l.a = i.vec_id left join c on c.a = i.vec_id""",
+    "op4_pivot_table": """
+        with v as (
+            select vec_id, list_transform(min(cast(embedding as double[])), lambda x: floor(1024 * x)) v from embeddings
+            where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            group by vec_id),
+        s as (select q.vec_id query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) score
+            from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
+        r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from s)
+        select query_id, rank, vec_id, score from r where rank <= 10""",
     "op5_secrets": secrets.digest_sql(),
 }
