@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, secrets, simhash, toxicity, vectors
+from . import bpe, packing, secrets, sharding, simhash, toxicity, urls, vectors, warc
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = warc.round_trip(table(spark, sf_dir, "pages"), least=1000)
+    return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_pivot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)
 
@@ -38,6 +43,25 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The contract's rules.
+URL_RULES = [
+    urls.Rule("com", "/en/", "block"),
+    urls.Rule("example.com", "/en/7", "allow"),
+    urls.Rule("net", "/de/", "block"),
+    urls.Rule("example.net", "/de/8", "block"),
+    urls.Rule("org", "/es/", "block"),
+]
+
+
+def op6_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op7_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shards(table(spark, sf_dir, "documents"), count=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
 def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=1024, end_id=2)
 
@@ -56,8 +80,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pivot_permutation": op1_pivot_permutation,
     "op2_simhash": op2_simhash,
+    "op3_warc": op3_warc,
     "op4_pivot_table": op4_pivot_table,
     "op5_secrets": op5_secrets,
+    "op6_url_ratio": op6_url_ratio,
+    "op7_hilbert": op7_hilbert,
     "op8_best_fit": op8_best_fit,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
@@ -75,6 +102,14 @@ ORACLES: dict[str, str] = {
         select i.vec_id, coalesce(l.n, 0) n_links, least(i.vec_id, coalesce(c.c, i.vec_id)) component_id,
             coalesce(i.vec_id <= coalesce(c.c, i.vec_id), true) kept
         from (select distinct vec_id from embeddings) i left join l on l.a = i.vec_id left join c on c.a = i.vec_id""",
+    "op3_warc": """
+        with p as (select page_id, coalesce(html, '') h from pages),
+        d as (select page_id, strlen(h) n, sha1(h) g from p),
+        m as (select g, max(page_id) holder from d where n >= 1000 group by g)
+        select page_id, n payload_bytes, d.g payload_digest,
+            case when holder is null or page_id = holder then 'response' else 'revisit' end record_type,
+            case when page_id <> holder then holder end refers_to
+        from d left join m on m.g = d.g""",
     "op4_pivot_table": """
         with v as (
             select vec_id, list_transform(min(cast(embedding as double[])), lambda x: floor(1024 * x)) v from embeddings
