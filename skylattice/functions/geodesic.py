@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,8 +44,6 @@ def direct(lon, lat, bearing, distance):
 
 def destination(lon: str, lat: str, bearing: str, distance: str) -> Column:
     """struct<lon, lat>; Arrow batches, since the series iterates."""
-    import pandas as pd
-
     @F.pandas_udf("lon double, lat double")
     def run(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.DataFrame:
         x, y = direct(a, b, c, d)

@@ -7,6 +7,7 @@ coefficient files (`read_coefficients`). The field is the gradient of the potent
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,8 +58,6 @@ def declination(lon, lat, altitude_km, years, rows) -> np.ndarray:
 
 
 def column(lon: Column, lat: Column, years: float, rows: list, altitude_km: float = 0.0) -> Column:
-    import pandas as pd
-
     @F.pandas_udf("double")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series(declination(x, y, np.zeros(len(x)) + altitude_km, years, rows))
@@ -68,8 +67,6 @@ def column(lon: Column, lat: Column, years: float, rows: list, altitude_km: floa
 
 def grid(spark, box: tuple[float, float, float, float], years: float, rows: list, step: float = 0.25, cell: int = 10):
     """Declination tiles of `cell` degrees, named by their south-west corner, row 0 in the north, sampled at cell centres."""
-    import pandas as pd
-
     from . import geo
 
     w, s, e, n = box

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -44,8 +45,6 @@ def latin1_repair(data: bytes | None) -> str | None:
 
 
 def _udf(f):
-    import pandas as pd
-
     @F.pandas_udf(StringType())
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda v: None if v is None else f(bytes(v)))

@@ -90,7 +90,7 @@ def multipolygons(parts: DataFrame) -> DataFrame:
         pdf = pdf.sort_values("pos", kind="stable")
         rings = {role: stitch([[(p["x"], p["y"]) for p in pts] for pts in pdf.loc[(pdf["role"] == "inner") == role, "points"]]) for role in (False, True)}
         if not rings[False]:
-            return pd.DataFrame({"rel_id": [], "polygons": []}).astype({"rel_id": "int64"})
+            return pd.DataFrame({"rel_id": [], "polygons": []}).astype({"rel_id": "int64", "polygons": object})
         shape = [[[{"x": x, "y": y} for x, y in ring] for ring in poly] for poly in polygons(rings[False], rings[True])]
         return pd.DataFrame({"rel_id": [key[0]], "polygons": [shape]})
 

@@ -28,7 +28,7 @@ TAGS = f"""t as (select f.*, exists(select 1 from fx_node_tags e where e.id = f.
     s as (select id, bool_or(not {EXCL} and (k <> 'building' or v in ('hangar','terminal','control_tower')) and not {SIGN} and (not {PLANT} or high) and k <> '' and v <> '') keep from t group by id)"""
 LAST = "lc as (select * from (select *, row_number() over (partition by id order by seq desc, ord desc) rn from fx_changes) where rn = 1)"
 TILES = """tl as (select n_nationkey tile_id, cast(n_nationkey*1439%340-170 as double) x0, cast(n_nationkey*37%140-60 as double) y0,
-    list_transform(range(0,1600), lambda i: case when (i+n_nationkey)%7 <> 0 then (i*31+n_nationkey*17)%2000+0.5 end) cells from nation)"""
+    list_transform(range(0,1600), lambda i: case when (i+n_nationkey)%7 <> 0 then (i*31+n_nationkey*17)%2000+0.5::double end) cells from nation)"""
 
 ORACLES: dict[str, str] = {
     "mercator_points": f"{w('fx_nodes')}, {N} select id, round(x,3) x, round(y,3) y from n",
