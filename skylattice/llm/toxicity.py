@@ -27,7 +27,9 @@ PAD, UNKNOWN = 0, 1
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Lower-case words; a word that follows itself counts once, so that stuttering junk says no more than its word."""
+    words = WORD.findall((text or "").lower())
+    return [w for w, before in zip(words, ["", *words]) if w != before]
 
 
 def trigrams(word: str) -> list[int]:
@@ -197,7 +199,9 @@ class Scorer:
         """Blocks of words of a very long text; each begins with the last WINDOW - 1 words of the one before."""
         held: list[str] = []
         for m in WORD.finditer(text):
-            held.append(m[0].lower())
+            word = m[0].lower()
+            if not held or word != held[-1]:
+                held.append(word)
             if len(held) >= BLOCK_WORDS:
                 yield held
                 held = held[1 - WINDOW :]
@@ -209,22 +213,22 @@ class Scorer:
 
 
 def distinct_rows(rows: list[tuple[list[str], int]]) -> list[tuple[list[str], int]]:
-    """Without near copies: a row goes if one of three minima over its word-triple hashes was seen."""
+    """Without near copies of one label: a row goes if two of three minima over its word-triple hashes were seen under its label."""
     seen, out = [set(), set(), set()], []
     for words, label in rows:
         h = np.array([zlib.crc32(" ".join(words[i : i + 3]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(words) - 2))], dtype=np.uint64)
-        keys = [int((h * np.uint64(m) % np.uint64(4294967291)).min()) for m in (1, 2654435761, 2246822519)]
-        if not any(k in s for k, s in zip(keys, seen)):
+        keys = [(label, int((h * np.uint64(m) % np.uint64(4294967291)).min())) for m in (1, 2654435761, 2246822519)]
+        if sum(k in s for k, s in zip(keys, seen)) < 2:
             out.append((words, label))
         for k, s in zip(keys, seen):
             s.add(k)
     return out
 
 
-def train(rows: list[tuple[str, int]], epochs: int = 5, batch: int = 128, vocab_size: int = 20_000, repeats: int = 800, rate: float = 0.01, seed: int = 7) -> Net | None:
+def train(rows: list[tuple[str, int]], epochs: int = 5, batch: int = 128, min_steps: int = 60, vocab_size: int = 20_000, singles: int = 800, rate: float = 0.01, seed: int = 7) -> Net | None:
     """Fits on document labels: each epoch takes a toxic document's likeliest window and a clean one's likeliest and two others.
 
-    `repeats` words of clean documents, each repeated over a window, are added as clean: runs of one word are common junk.
+    `singles` words of clean documents are added as clean texts of one word.
     """
     data = distinct_rows([(words_of(t), int(y)) for t, y in rows])
     label = np.array([y for _, y in data])
@@ -239,10 +243,12 @@ def train(rows: list[tuple[str, int]], epochs: int = 5, batch: int = 128, vocab_
     kept = sorted((w for w in total if total[w] > 1), key=lambda w: (-total[w], w))[:vocab_size]
     n = np.bincount(label, minlength=2)
     odds = [np.log((count[1][w] + 2) / (n[1] + 4)) - np.log((count[0][w] + 2) / (n[0] + 4)) for w in kept]
+    # what a few documents say of a word is chance
+    odds = [o * (1 - np.exp(-total[w] / 5)) for o, w in zip(odds, kept)]
     rng = np.random.RandomState(seed)
     calm = sorted({w for w in count[0] if w not in count[1]} | {w for w, o in zip(kept, odds) if o < 1})
-    stutter = [[w] * WINDOW for w in rng.choice(calm, min(repeats, len(calm)), replace=False)] if calm else []
-    docs, label = docs + stutter, np.concatenate([label, np.zeros(len(stutter), label.dtype)])
+    single = [[w] for w in rng.choice(calm, min(singles, len(calm)), replace=False)] if calm else []
+    docs, label = docs + single, np.concatenate([label, np.zeros(len(single), label.dtype)])
     net = Net({w: k + 2 for k, w in enumerate(kept)}, np.array(odds, np.float32) / 2, seed)
     m = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
@@ -258,9 +264,12 @@ def train(rows: list[tuple[str, int]], epochs: int = 5, batch: int = 128, vocab_
         order = np.lexsort((-logit, owner))
         first = order[np.searchsorted(owner[order], np.arange(len(docs)))]
         extra = rng.permutation(np.flatnonzero(label[owner] == 0))[: 2 * len(docs)]
-        pick = rng.permutation(np.unique(np.concatenate([first, extra])))
-        for k in range(0, len(pick), batch):
-            some = pick[k : k + batch]
+        pick = np.unique(np.concatenate([first, extra]))
+        # a small sample is gone over several times an epoch, so that the steps suffice
+        turns = max(1, -(-min_steps * batch // max(1, len(pick))))
+        queue = np.concatenate([rng.permutation(pick) for _ in range(turns)])
+        for k in range(0, len(queue), batch):
+            some = queue[k : k + batch]
             y = label[owner[some]].astype(np.float32)
             words = [docs[owner[i]][STRIDE * nth[i] : STRIDE * nth[i] + WINDOW] for i in some]
             uniq = {"": 0}
@@ -288,7 +297,8 @@ def train(rows: list[tuple[str, int]], epochs: int = 5, batch: int = 128, vocab_
                 a, b = m[name]
                 a += 0.1 * (grad - a)
                 b += 0.01 * (grad * grad - b)
-                net.p[name] -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-6)
+                # vectors move slowly: with few documents they would learn their rare words by heart
+                net.p[name] -= rate * {"words": 0.3, "chars": 0.5}.get(name, 1.0) * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-6)
     logit, owner, _ = in_blocks(Scorer(net), docs)
     top = np.full(len(docs), -np.inf)
     np.maximum.at(top, owner, logit)
@@ -311,12 +321,11 @@ def in_blocks(scorer: Scorer, docs):
 
 
 def threshold(top: np.ndarray, label: np.ndarray) -> float:
-    """Within the widest gap among the cuts of the fewest errors (each as a share of its class), nearer to the toxic side:
-    a corpus has far more clean windows than the sample."""
+    """The middle of the widest gap among the cuts of the fewest errors, each counted as a share of its class."""
     order = np.argsort(top)
     t, y = top[order], label[order]
     missed, alarms = np.concatenate([[0], np.cumsum(y)]) / max(1, y.sum()), np.concatenate([[(1 - y).sum()], (1 - y).sum() - np.cumsum(1 - y)]) / max(1, (1 - y).sum())
-    cuts = np.concatenate([[t[0] - 2], 0.65 * t[1:] + 0.35 * t[:-1], [t[-1] + 2]])
+    cuts = np.concatenate([[t[0] - 2], (t[1:] + t[:-1]) / 2, [t[-1] + 2]])
     gap = np.concatenate([[0], t[1:] - t[:-1], [0]])
     loss = missed + alarms
     best = np.flatnonzero(loss <= loss.min() + 1e-9)

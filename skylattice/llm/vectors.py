@@ -29,8 +29,9 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str, zero: bool) -> DataFra
 def sample(rows: DataFrame, size: int) -> np.ndarray:
     """A bounded sample of distinct vectors, the first `size` by hash of their components: same rows, same sample."""
     got = rows.select("v").orderBy(F.xxhash64("v"), "v").limit(4 * size).collect()
-    found = list(dict.fromkeys(tuple(r["v"]) for r in got))[:size]
-    return np.array(found, dtype=np.float64).reshape(len(found), -1)
+    found = list(dict.fromkeys(tuple(r["v"]) for r in got))
+    found = [v for v in found if len(v) == len(found[0])][:size]
+    return np.array(found, dtype=np.float64) if found else np.zeros((0, 1))
 
 
 def unit(m: np.ndarray) -> np.ndarray:
