@@ -6,7 +6,7 @@ one with the total length. A payload of `least` bytes or more that several pages
 page id; the others are revisit records with its digest and that page. Records are written by Spark's text writer with the
 record end as line end, so archives are true WARC files in any file system that Spark reaches.
 
-Reading takes whole files (their number follows the bytes, about `file_bytes` each), parses records, groups segments by
+Reading takes whole files (none holds more than `file_bytes` before compression), parses records, groups segments by
 origin, orders them by number, checks that none is missing and that the total is met, and decodes the framing. A record that
 fails a check is returned with a reason and no payload. A revisit's payload is resolved to that of the page it refers to.
 
@@ -40,8 +40,6 @@ def marked(pages: DataFrame, least: int, id_col: str, html_col: str, url_col: st
 
 def write(pages: DataFrame, path: str, least: int = 1000, segment: int = SEGMENT, chunk: int = CHUNK, file_bytes: int = FILE_BYTES, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> None:
     """Writes gzip-compressed WARC files to the folder `path`."""
-    size = pages.agg(F.sum(F.octet_length(html_col).cast("long") + 700)).first()[0] or 0
-    files = max(1, -(-size // file_bytes))
     rows = marked(pages, least, id_col, html_col, url_col).withColumn("uid", F.concat_ws("-", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.monotonically_increasing_id().cast("string")))
     text = lambda c: c.cast("binary")
     size_of = F.octet_length("data")
@@ -72,9 +70,9 @@ def write(pages: DataFrame, path: str, least: int = 1000, segment: int = SEGMENT
         F.concat(F.lit("Content-Length: "), F.octet_length("s.part").cast("string")),
     )
     record = F.concat(text(F.concat(head, F.lit(END))), F.col("s.part")).cast("string")
-    # segments of one page go to different files, as a crawler that rotates its files would leave them
-    out = rows.select(record.alias("value"), F.xxhash64("uid", "s.no").alias("deal")).repartition(int(files), "deal").select("value")
-    out.write.option("lineSep", END).option("compression", "gzip").text(path)
+    # no record is larger than a segment and its header, so a count of records bounds a file; records stay in the partitions of the join
+    most = max(1, file_bytes // (segment + 1024))
+    rows.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", most).text(path)
 
 
 def parse(data: bytes):
