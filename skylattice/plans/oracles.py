@@ -139,6 +139,14 @@ ORACLES: dict[str, str] = {
         select idx, kind, flags from r where kind<>'random' union all select idx, kind, flags from z where nf+nr<=500 or b>=nr or (flags>0 and k<sf) or (flags<=0 and l>0 and k%st=0 and k//st<l)""",
     "golden_facts": """with m as (select s_nationkey, sum(s_nationkey) v from supplier group by 1) select n_name as key, coalesce(abs(v-n_nationkey*10.0) <= 40, false) ok, round(abs(v-n_nationkey*10.0)::double,6) diff
         from nation left join m on s_nationkey = n_nationkey""",
+    "quarantine_rows": f"""{w('fx_nodes')} select id, case when abs(lon*1.02) > 180 then 'longitude' when abs(lat*1.1) > 90 then 'latitude' else 'id' end reason from fx_nodes
+        where abs(lon*1.02) > 180 or abs(lat*1.1) > 90 or id%97=0""",
+    "region_sample_check": f"{w('fx_nodes','fx_regions')} select r.name region, count(*) n, cast(0 as bigint) outside from fx_nodes n join fx_regions r on {IN.format('n.')} group by r.name",
+    "nodes_near_airports": f"""{w('fx_nodes','fx_airports')}, {N}, {A} select point_id, cast(rn as int) as rank, id, round(d,3) dist_m from
+        (select a.id point_id, n.id, {D.format('a')} d, row_number() over (partition by a.id order by {D.format('a')}, n.id) rn from n join a on {D.format('a')} <= 500000) where rn <= 5""",
+    "loaded_cells": f"""{w('fx_regions')}, la as (select unnest(range(-60,80,10)) lat), lo as (select unnest(range(-180,180,10)) lon),
+        t as (select r.name, lat, lon from fx_regions r cross join la cross join lo where min_lon<=max_lon and lon>=floor(min_lon/10)*10 and lon<ceil(max_lon/10)*10)
+        select name, count(*) n from t where not exists (select 1 from nation where n_nationkey%12*10-60=lat and n_nationkey*10-120=lon) group by name""",
     "timing_by_category": "select event_type, count(*) n, round(avg(value),6) avg_ms, round(sum(value)/1000,6) total_s from events group by 1",
     "model_difference": "select round(avg(abs(s_acctbal-s_suppkey*10)),6) mean, round(max(abs(s_acctbal-s_suppkey*10)),6) most, count(*) filter (abs(s_acctbal-s_suppkey*10)>500) outliers from supplier",
 }

@@ -508,3 +508,43 @@ def timing_by_category(t):
 def model_difference(t):
     d = F.abs(F.col("s_acctbal") - F.col("s_suppkey") * 10)
     return t("supplier").agg(F.round(F.avg(d), 6).alias("mean"), F.round(F.max(d), 6).alias("most"), F.count_if(d > 500).alias("outliers"))
+
+
+# sinks and samples
+
+
+@query
+def quarantine_rows(t):
+    from ..operators import sinks
+
+    far = t("fx_nodes").select("id", (F.col("lon") * 1.02).alias("lon"), (F.col("lat") * 1.1).alias("lat"))
+    checks = {"longitude": F.col("lon").between(-180.0, 180.0), "latitude": F.col("lat").between(-90.0, 90.0), "id": F.col("id") % 97 != 0}
+    return sinks.split_valid(far, checks)[1].select("id", "reason")
+
+
+@query
+def region_sample_check(t):
+    """Of the nodes that a region's slice would hold, how many lie in it: the whole slice, not a sample, for the oracle."""
+    slices = spatial.expand_mask(t("fx_nodes").join(node_masks(t), "id"), regions(t))
+    boxes = regions(t).select(F.col("name").alias("region"), "min_lon", "max_lon", "min_lat", "max_lat")
+    inside = geo.in_range(F.col("lon"), F.col("min_lon"), F.col("max_lon")) & F.col("lat").between(F.col("min_lat"), F.col("max_lat"))
+    return slices.join(F.broadcast(boxes), "region").groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.count_if(~inside).alias("outside"))
+
+
+@query
+def nodes_near_airports(t):
+    """Ways and areas near a point, for nodes: the first five per airport within the radius, by distance and id."""
+    from pyspark.sql import Window
+
+    near = spatial.within_distance(spatial.project(t("fx_airports")), nodes(t), 5 * NEAR, ["id"])
+    order = Window.partitionBy("point_id").orderBy("dist", "id")
+    return near.withColumn("rank", F.row_number().over(order)).where("rank <= 5").select("point_id", "rank", "id", F.round("dist", 3).alias("dist_m"))
+
+
+@query
+def loaded_cells(t):
+    """Cells of the declination grid per region that aren't computed yet, ten degrees a side."""
+    wanted = raster.box_tiles(regions(t).where("min_lon <= max_lon").select("name", "min_lon", "min_lat", "max_lon", "max_lat"), 10)
+    wanted = wanted.withColumn("tile", geo.tile_name(F.col("lat"), F.col("lon"), "cell"))
+    done = t("nation").select(geo.tile_name((F.col("n_nationkey") % 12 * 10 - 60).cast("int"), (F.col("n_nationkey") * 10 - 120).cast("int"), "cell").alias("tile"))
+    return raster.absent(wanted, done).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
