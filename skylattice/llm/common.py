@@ -26,9 +26,34 @@ def stage_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+_staged: list[str] = []
+
+
+def staged() -> list[str]:
+    """Paths of the staged tables that this process wrote and hasn't dropped."""
+    return list(_staged)
+
+
+def drop_stages(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> int:
+    """Deletes the staged tables that this process wrote after the first `since`, except those that `keep` reads, once nothing
+    lazy needs them any more. Returns how many are left, which is the next call's `since`."""
+    kept = {f.rsplit("/", 1)[0] for f in keep.inputFiles()} if keep is not None else set()
+    jvm = spark.sparkContext._jvm
+    for path in _staged[since:]:
+        if not any(k.endswith(path.rsplit("/", 1)[1]) for k in kept):
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            _staged.remove(path)
+    return len(_staged)
+
+
 def stage(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write df as Parquet in the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    The tables stay until `drop_stages`, since results are lazy and may read them at any time.
+    """
     path = stage_path(df.sparkSession, tag)
+    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -40,10 +40,10 @@ def unit(m: np.ndarray) -> np.ndarray:
     return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
 
 
-def near_pairs(vectors: DataFrame, at_least: float = 0.9, near: int = 8, shared: int = 2, block: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
+def near_pairs(vectors: DataFrame, at_least: float = 0.9, near: int = 8, shared: int = 2, block: int = 1024, most_pivots: int = 4096, id_col: str = "vec_id", vec_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
     """(links per vector: id, n_links), (edges: a, b that connect what links connect).
 
-    Index: 2 x sqrt(n) pivots (32 at least) are sampled; each vector is described by its `near` nearest pivots in order
+    Index: 2 x sqrt(n) pivots (from 32 to `most_pivots`, which bounds the sample on the driver) are sampled; each vector is described by its `near` nearest pivots in order
     and is posted in their inverted lists. Two vectors are candidates if their descriptions share `shared` pivots. A
     pair is met in the list of each pivot that it shares and counted in that of the least one, so that no pair is counted
     twice or written down. Lists are cut into blocks of at most `block` vectors and block pairs are tasks of their own, so a
@@ -55,7 +55,7 @@ def near_pairs(vectors: DataFrame, at_least: float = 0.9, near: int = 8, shared:
     # equal vectors are one row of the index with a multiplicity; all of them link with each other
     classes = stage(rows.groupBy("v").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
     n = classes.count()
-    pivots = sample(classes, max(32, 2 * math.isqrt(n)))
+    pivots = sample(classes, min(most_pivots, max(32, 2 * math.isqrt(n))))
     if not len(pivots):
         none = rows.select("id", F.lit(0).cast("long").alias("n_links"))
         return none, rows.select(F.col("id").alias("a"), F.col("id").alias("b"))

@@ -234,3 +234,14 @@ def test_pipeline_stages(spark, tmp_path):
     empty = spark.createDataFrame([], names)
     for name, step in cp.STAGES:
         assert step(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_staged_tables_go(spark):
+    mark = len(common.staged())
+    a = common.stage(spark.range(5), "a")
+    b = common.stage(a.where("id > 2"), "b")
+    assert common.drop_stages(spark, mark, keep=b) == mark + 1
+    assert b.count() == 2
+    assert common.drop_stages(spark, mark) == mark
+    with pytest.raises(Exception):
+        b.count()
