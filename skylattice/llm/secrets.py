@@ -22,6 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stage
+
 BUCKET = 2048
 
 
@@ -191,6 +193,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text
     rows = docs.withColumn("__key", F.md5(F.coalesce(docs[text_col], F.lit(""))))
     buckets = max(1, docs.count() // BUCKET)
     hits = candidates(rows.select(F.col("__key").alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), rules, buckets)
+    # written, as a join with an aggregate on its own key can't be split where a text is hot
+    hits = stage(hits, "hits")
     met = rows.join(hits.select(F.col("key").alias("__key"), F.col("mask").alias("__mask")), "__key", "left")
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.expr("cast(array() as array<struct<start: int, kind: int, end: int>>)")

@@ -104,6 +104,8 @@ def links(points: DataFrame, radius: int = 2) -> DataFrame:
     tables = F.array(*(F.struct(F.lit(k).alias("m"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for k, m in enumerate(masks(radius))))
     rows = points.select("fp", F.explode(tables).alias("t")).select("t.m", "t.key", "fp")
     sizes = rows.groupBy("m", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, as a join with an aggregate on its own key can't be split where a bucket is hot
+    sizes = stage(sizes, "sizes")
     met = stage(rows.join(sizes, ["m", "key"]), "buckets")
     small = (
         met.where(F.col("n") <= BUCKET)
@@ -132,7 +134,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_col: st
     points = stage(points, "points")
     roots = components(links(points, radius))
     member = points.join(roots.withColumnRenamed("v", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
+    lowest = stage(member.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
     classes = stage(member.join(lowest, "root").select("fp", "component_id"), "classes")
     return prints.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 

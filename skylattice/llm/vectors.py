@@ -148,7 +148,7 @@ def near_duplicates(vectors: DataFrame, at_least: float = 0.9, id_col: str = "ve
     a null id gives one row with a null component that is kept."""
     links, edges = near_pairs(vectors, at_least, id_col=id_col, vec_col=vec_col, **how)
     roots = components(edges)
-    lowest = roots.groupBy("root").agg(F.min("v").alias("component_id"))
+    lowest = stage(roots.groupBy("root").agg(F.min("v").alias("component_id")), "lowest")
     of = roots.join(lowest, "root").select(F.col("v").alias("id"), "component_id")
     out = vectors.select(F.col(id_col).cast("long").alias("id")).distinct().join(links, "id", "left").join(of, "id", "left")
     component = F.coalesce("component_id", "id")

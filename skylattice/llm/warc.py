@@ -34,6 +34,8 @@ def marked(pages: DataFrame, least: int, id_col: str, html_col: str, url_col: st
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), data.alias("data")).withColumn("digest", F.sha1("data"))
     # only shared payloads need a holder; counts are pre-aggregated, so a payload of a third of all pages is one row a task
     shared = rows.where(F.octet_length("data") >= least).groupBy("digest").agg(F.max("id").alias("holder"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # written, as a join with an aggregate on its own key can't be split where a payload is hot
+    shared = stage(shared, "shared")
     met = rows.join(shared, "digest", "left")
     return met.select("id", "url", "data", "digest", F.when(F.col("holder").isNotNull() & ~F.coalesce(F.col("id") == F.col("holder"), F.lit(False)), F.col("holder")).alias("refers"))
 
@@ -180,6 +182,7 @@ def round_trip(pages: DataFrame, least: int = 1000, **how) -> DataFrame:
     back = got.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.when(F.col("payload").isNotNull(), F.sha1("payload")).alias("payload_digest"), "type", "digest", "refers_to", "reason")
     back = stage(back, "warc-rows")
     held = back.where("type = 'response' and payload_bytes is not null").groupBy("digest").agg(F.max("payload_bytes").alias("held_bytes"), F.max("payload_digest").alias("held_digest"))
+    held = stage(held, "held")
     revisits = back.where("type = 'revisit'").join(held, "digest", "left")
     plain = back.where("type = 'response'").select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to", "reason")
     return plain.union(revisits.select("page_id", "held_bytes", "held_digest", F.col("type").alias("record_type"), "refers_to", F.when(F.col("held_bytes").isNull(), "payload not found").alias("reason")))
