@@ -82,16 +82,23 @@ def polygons(outer: list, inner: list) -> list[list]:
 def multipolygons(parts: DataFrame) -> DataFrame:
     """(rel_id, polygons: array<array<array<struct<x, y>>>>): members with role inner are holes, all others outer; no outer ring, no row.
 
-    One relation is one group: its members are bounded by the map format, and the fold over its segments needs their order.
+    Members are gathered and ordered in the JVM, one row a relation, which the map format bounds; Python gets batches of
+    relations as flat coordinate arrays and folds each one.
     """
     import pandas as pd
 
-    def build(key, pdf):
-        pdf = pdf.sort_values("pos", kind="stable")
-        rings = {role: stitch([[(p["x"], p["y"]) for p in pts] for pts in pdf.loc[(pdf["role"] == "inner") == role, "points"]]) for role in (False, True)}
-        if not rings[False]:
-            return pd.DataFrame({"rel_id": [], "polygons": []}).astype({"rel_id": "int64", "polygons": object})
-        shape = [[[{"x": x, "y": y} for x, y in ring] for ring in poly] for poly in polygons(rings[False], rings[True])]
-        return pd.DataFrame({"rel_id": [key[0]], "polygons": [shape]})
-
-    return parts.select("rel_id", "pos", "role", "points").groupBy("rel_id").applyInPandas(build, "rel_id long, polygons array<array<array<struct<x: double, y: double>>>>")
+    ordered = F.array_sort(F.collect_list(F.struct("pos", (F.col("role") == "inner").alias("hole"), F.transform("points", lambda p: p["x"]).alias("xs"), F.transform("points", lambda p: p["y"]).alias("ys"))))
+    rows = parts.groupBy("rel_id").agg(ordered.alias("m")).select("rel_id", *(F.col(f"m.{k}").alias(k) for k in ("hole", "xs", "ys")))
+
+    def build(batches):
+        for pdf in batches:
+            ids, shapes = [], []
+            for rel, holes, xs, ys in zip(pdf["rel_id"].tolist(), pdf["hole"], pdf["xs"], pdf["ys"]):
+                segments = [list(zip(x.tolist(), y.tolist())) for x, y in zip(xs, ys)]
+                outer, inner = (stitch([s for s, h in zip(segments, holes) if bool(h) == side]) for side in (False, True))
+                if outer:
+                    ids.append(rel)
+                    shapes.append([[[{"x": x, "y": y} for x, y in ring] for ring in poly] for poly in polygons(outer, inner)])
+            yield pd.DataFrame({"rel_id": pd.Series(ids, dtype="int64"), "polygons": pd.Series(shapes, dtype=object)})
+
+    return rows.mapInPandas(build, "rel_id long, polygons array<array<array<struct<x: double, y: double>>>>")
