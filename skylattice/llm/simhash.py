@@ -8,7 +8,8 @@ under that mask: every pair within the radius collides in some table, none is mi
 Equal fingerprints are one vertex, so groups of copies cost one row. In buckets of up to BUCKET fingerprints the pairs are
 verified one by one; larger ones, at any size, are solved exactly without pairs where the radius is 2: two fingerprints
 are within 2 bits iff they share a point at most one flipped bit away, so each joins 65 stars, and a star has at
-most 65 members. For other radii large buckets are verified block by block in numpy and give a forest of links.
+most 65 members. For other radii large buckets are verified block by block in numpy, and a block
+gives one link a member at most.
 """
 
 from __future__ import annotations
@@ -68,33 +69,36 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, fp long")
 
 
-def _verify_blocks(radius: int):
-    """Links of the buckets that meet in a partition, as forests, found in blocks of 1024 x 1024."""
+def _joined(near: np.ndarray, same: bool) -> np.ndarray:
+    """Of the rows and columns of a block of links: for each the least number (rows first) that links lead to."""
+    n, m = near.shape
+    rows, cols = np.arange(n), np.arange(m) if same else np.arange(n, n + m)
+    while True:
+        new_rows = np.minimum(rows, np.where(near, cols[None, :], n + m).min(axis=1))
+        new_cols = np.minimum(cols, np.where(near, new_rows[:, None], n + m).min(axis=0))
+        if same:
+            new_rows = new_cols = np.minimum(new_rows, new_cols)
+        if (new_rows == rows).all() and (new_cols == cols).all():
+            return rows if same else np.concatenate([rows, cols])
+        rows, cols = new_rows, new_cols
+
+
+def _verify_blocks(radius: int, block: int = 1024):
+    """Links of a large bucket, found in blocks of pairs; each block gives at most one link for each of its members."""
     import pandas as pd
 
     def run(key, pdf):
         fps = np.unique(pdf["fp"].to_numpy()).view(np.uint64)
         out = []
-        for i in range(0, len(fps), 1024):
-            for j in range(i, len(fps), 1024):
-                far = np.bitwise_count(fps[i : i + 1024, None] ^ fps[None, j : j + 1024])
-                a, b = np.nonzero(far <= radius)
-                keep = a + i < b + j
-                parent: dict = {}
-
-                def find(x):
-                    while parent.get(x, x) != x:
-                        x = parent[x]
-                    return x
-
-                for x, y in zip((a[keep] + i).tolist(), (b[keep] + j).tolist()):
-                    x, y = find(x), find(y)
-                    if x != y:
-                        parent[max(x, y)] = min(x, y)
-                        out.append((x, y))
-        pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
-        back = fps.view(np.int64)
-        return pd.DataFrame({"a": back[pairs[:, 0]], "b": back[pairs[:, 1]]})
+        for i in range(0, len(fps), block):
+            for j in range(i, len(fps), block):
+                left, right = fps[i : i + block], fps[j : j + block]
+                root = _joined(np.bitwise_count(left[:, None] ^ right[None, :]) <= radius, i == j)
+                both = left if i == j else np.concatenate([left, right])
+                moved = root != np.arange(len(both))
+                out.append(np.stack([both[root[moved]], both[moved]]))
+        a, b = np.concatenate(out, axis=1).view(np.int64)
+        return pd.DataFrame({"a": a, "b": b})
 
     return run
 
@@ -139,7 +143,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_col: st
     return prints.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def distinct_documents(docs: DataFrame, words: int = 5, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def distinct_documents(docs: DataFrame, words: int = 5, radius: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of near duplicates, with all columns of docs: the one with the smallest id.
 
     Of rows that repeat that id with the same fingerprint one stays, chosen by the hash of the row's text. Rows with a null id are kept only
