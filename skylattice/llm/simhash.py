@@ -18,7 +18,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, fresh, stage
+from .common import components, stage
+from .shingles import distinct_documents  # noqa: F401  the pipeline's stage, by exact similarity
 
 BUCKET = 64
 
@@ -141,21 +142,3 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_col: st
     lowest = stage(member.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
     classes = stage(member.join(lowest, "root").select("fp", "component_id"), "classes")
     return prints.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
-
-
-def distinct_documents(docs: DataFrame, words: int = 5, radius: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of near duplicates, with all columns of docs: the one with the smallest id.
-
-    Of rows that repeat that id with the same fingerprint one stays, chosen by the hash of the row's text. Rows with a null id are kept only
-    where their whole group has none. Every row gets a fingerprint in the scan; the decision is made on (id, fingerprint) and
-    joined back, so texts of rows that go aren't sorted or grouped.
-    """
-    row = fresh(docs, "__row")
-    held = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    prints = stage(fingerprints(held, words, row, text_col).join(held.select(F.col(row).alias("id"), F.col(id_col).alias("doc")), "id"), "fingerprints")
-    # of each fingerprint only its least (id, row) can stay; nulls come last
-    order = F.struct(F.col("doc").isNull(), F.col("doc"), F.col("id"))
-    points = stage(prints.groupBy("fp").agg(F.min(order).alias("low")), "points")
-    roots = components(links(points, radius))
-    kept = points.join(roots.withColumnRenamed("v", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("low").alias("low"))
-    return held.join(kept.select(F.col("low.id").alias(row)), row, "left_semi").select(*docs.columns)

@@ -376,3 +376,29 @@ def test_toxicity_held_out(spark):
     right = Counter((r["toxic"], r["score"] >= 0.5) for r in rows)
     assert right[0, False] >= 0.98 * (right[0, False] + right[0, True])
     assert right[1, True] >= 0.85 * (right[1, False] + right[1, True])
+
+
+def test_distinct_documents_all_pairs(spark, monkeypatch):
+    """Against all pairs: edited copies down to 0.8, chains, a line that all share, groups larger than a block."""
+    from skylattice.llm import shingles
+
+    monkeypatch.setattr(shingles, "BLOCK", 8)
+    monkeypatch.setattr(shingles, "SEEN", 12)
+    r = random.Random(4)
+    fresh = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    line, texts = fresh(12), []
+    for k in range(12):
+        base = line + fresh(r.choice([30, 80, 150]))
+        texts.append(base)
+        for _ in range(12):
+            edited = list(texts[-1] if k % 2 else base)
+            for _ in range(r.randrange(1, 5)):
+                edited[r.randrange(len(edited))] = fresh(1)[0]
+            texts.append(edited)
+    texts += [line + fresh(1) for _ in range(20)] + [fresh(3), fresh(5)] * 2
+    r.shuffle(texts)
+    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    low = groups(pairs, range(len(sets)))
+    got = {x["doc_id"] for x in shingles.distinct_documents(docs_of(spark, [" ".join(t) for t in texts])).collect()}
+    assert got == set(low.values()) and 20 < len(got) < len(texts) - 20
