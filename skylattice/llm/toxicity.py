@@ -4,8 +4,9 @@ Each word enters as its own vector (known words) beside the mean vector of its h
 A window of WINDOW words goes through a gated recurrent layer in both directions, attention pools the states, and a
 linear unit gives a logit; windows overlap by half, all of them are scored, and a document's logit is its highest.
 
-Fitting uses at most `per_class` labelled rows of each class, in hash order of their ids, of at most `max_chars`
-characters, without near copies; those bounds are parameters. Scoring covers every text in full; very long texts go by
+Fitting uses at most `per_class` labelled rows of each class and `per_class * max_chars` characters, without near copies: in hash
+order of their ids rows of at most `max_chars` characters, and where these are too few longer ones, whole, or in evenly
+spaced parts where they don't fit into what is left; those bounds are parameters. Scoring covers every text in full; very long texts go by
 in blocks of words that overlap by a window. Null and empty texts get the score of one empty window. Without rows of
 both classes there is nothing to learn and every score is 0. A row's id, language, source and labels never enter its score.
 """
@@ -332,17 +333,34 @@ def threshold(top: np.ndarray, label: np.ndarray) -> float:
     return float(cuts[best[np.argmax(gap[best])]])
 
 
+def spaced(text, n, share: int, part: int):
+    """The text of n characters, or where that is over `share` as many parts of `part` characters as fit, spread evenly from its start to its end."""
+    k = max(1, share // (part + 1))
+    at = lambda i: (i * (n - part) / max(1, k - 1)).cast("int") + 1
+    return F.when(n <= share, text).otherwise(F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.substring(text, at(i), F.lit(part)))))
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_chars: int = 4000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Net | None:
-    """Trains on labelled rows whose crc32(id as text) mod 5 isn't 0."""
+    """Trains on labelled rows whose crc32(id as text) mod 5 isn't 0: those of up to `max_chars` characters first, and longer
+    ones where these don't fill `per_class`. The longer rows of a class share what is left of per_class * max_chars characters."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("y in (0, 1) and crc32(cast(id as string)) % 5 <> 0")
     known = known.groupBy("id").agg(F.max("y").alias("y"))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text").between(1, max_chars))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("n", F.length("text")).where("n > 0")
     rows = []
     # ids first, so that only the chosen rows' texts move; the order by hash spreads the choice over the whole table
-    sized = texts.select("id").join(known, "id")
+    sized = texts.select("id", "n").join(known, "id").groupBy("id", "y").agg(F.min("n").alias("n"))
     for y in (0, 1):
-        chosen = sized.where(F.col("y") == y).select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(per_class)
-        rows += [(r["text"], y, r["id"]) for r in texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text")).collect()]
+        chosen = sized.where((F.col("y") == y) & (F.col("n") <= max_chars)).select("id").orderBy(F.xxhash64("id"), "id").limit(per_class)
+        short = [(r["text"], y, r["id"]) for r in texts.where(F.col("n") <= max_chars).join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text")).collect()]
+        rows += short
+        if len(short) == per_class:
+            continue
+        chosen = sized.where((F.col("y") == y) & (F.col("n") > max_chars)).orderBy(F.xxhash64("id"), "id").limit(per_class - len(short))
+        lengths = [r["n"] for r in chosen.select("n").collect()]
+        if lengths:
+            share = (per_class * max_chars - sum(len(t) for t, _, _ in short)) // len(lengths)
+            long = texts.join(F.broadcast(chosen.select("id")), "id").select("id", spaced(F.col("text"), F.col("n"), share, max_chars).alias("text"))
+            rows += [(r["text"], y, r["id"]) for r in long.groupBy("id").agg(F.min("text").alias("text")).collect()]
     rows.sort(key=lambda r: (zlib.crc32(str(r[2]).encode()), r[2]))
     return train([(t, y) for t, y, _ in rows])
 

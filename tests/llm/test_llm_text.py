@@ -402,3 +402,20 @@ def test_distinct_documents_all_pairs(spark, monkeypatch):
     low = groups(pairs, range(len(sets)))
     got = {x["doc_id"] for x in shingles.distinct_documents(docs_of(spark, [" ".join(t) for t in texts])).collect()}
     assert got == set(low.values()) and 20 < len(got) < len(texts) - 20
+
+
+def test_toxicity_learns_from_long_rows(spark):
+    calm = [f"calm words number {k} about rivers and hills " + " ".join(f"w{k}x{j}" for j in range(20)) for k in range(60)]
+    filler = lambda k, side: " ".join(f"w{k}{side}{j}" for j in range(60))
+    texts = calm + [filler(k, "a") + " you vile " + filler(k, "b") for k in range(60)]
+    labels = spark.createDataFrame([(i, int(i >= 60)) for i in range(120)], "doc_id long, toxic int")
+    # every toxic row is longer than max_chars; the second time the rows don't fit in whole
+    for size in (400, 250):
+        assert all(len(t) > 400 for t in texts[60:]) and all(len(t) <= 250 for t in calm)
+        net = toxicity.fit(docs_of(spark, texts), labels, per_class=100, max_chars=size)
+        assert net is not None
+        score = {r["doc_id"]: r["score"] for r in toxicity.score(docs_of(spark, texts), net).collect()}
+        assert sum(score[i] >= 0.5 for i in range(60, 120)) >= 55 and sum(score[i] >= 0.5 for i in range(60)) <= 5
+    row = spark.createDataFrame([("".join(chr(65 + i // 100) for i in range(1000)),)], "t string")
+    assert row.select(toxicity.spaced(F.col("t"), F.length("t"), 999, 100)).first()[0].split(" ") == [row.first()[0][int(900 * i / 8) :][:100] for i in range(9)]
+    assert row.select(toxicity.spaced(F.col("t"), F.length("t"), 1000, 100)).first()[0] == row.first()[0]
