@@ -92,24 +92,35 @@ def containing(points: DataFrame, areas: DataFrame, size: float, cols: list[str]
     return left.join(boxed, ["__cx", "__cy"]).where(box).where(geo.inside(F.col("rings"), F.col("__px"), F.col("__py"))).select("point_id", *cols)
 
 
+def few(regions: DataFrame) -> DataFrame:
+    """The regions themselves; raises where a mask can't hold them: over 32 rows, or a bit that isn't in 0 to 31. Reads 33 bits at most."""
+    bits = [r["bit"] for r in regions.select("bit").limit(33).collect()]
+    if len(bits) > 32:
+        raise ValueError("a mask holds at most 32 regions")
+    if any(b is None or not 0 <= b <= 31 for b in bits):
+        raise ValueError(f"bits of regions must be 0 to 31: {bits}")
+    return regions
+
+
 def region_mask(points: DataFrame, regions: DataFrame) -> DataFrame:
     """(id, mask): bit k is set where region k's box (min_lon > max_lon wraps; optional rings decide within it) holds the point.
 
-    At most 32 regions fit into a mask, which is what bounds the broadcast; all points are classified in one pass.
+    At most 32 regions fit into a mask, which is what bounds the broadcast; more, or other bits than 0 to 31, are an error.
+    All points are classified in one pass.
     """
     if "rings" not in regions.columns:
         regions = regions.withColumn("rings", F.lit(None).cast("array<array<struct<x: double, y: double>>>"))
-    few = F.broadcast(regions.select("bit", "min_lon", "max_lon", "min_lat", "max_lat", "rings").where(F.col("bit").between(0, 31)).limit(32))
+    boxes = F.broadcast(few(regions).select("bit", "min_lon", "max_lon", "min_lat", "max_lat", "rings"))
     hit = geo.in_range(F.col("lon"), F.col("min_lon"), F.col("max_lon")) & F.col("lat").between(F.col("min_lat"), F.col("max_lat"))
     exact = F.when(F.col("rings").isNull(), F.lit(True)).otherwise(geo.inside(F.col("rings"), F.col("lon"), F.col("lat")))
-    met = points.select("id", "lon", "lat").join(few, hit & exact)
+    met = points.select("id", "lon", "lat").join(boxes, hit & exact)
     return met.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("mask"))
 
 
 def expand_mask(masked: DataFrame, regions: DataFrame) -> DataFrame:
     """One row per set bit: masked's columns and the region's name."""
     bits = masked.select("*", F.explode(F.expr("filter(sequence(0, 31), b -> shiftright(mask, b) & 1 = 1)")).alias("bit"))
-    return bits.join(F.broadcast(regions.select(F.col("bit").cast("int").alias("bit"), F.col("name").alias("region")).limit(32)), "bit").drop("bit")
+    return bits.join(F.broadcast(few(regions).select(F.col("bit").cast("int").alias("bit"), F.col("name").alias("region"))), "bit").drop("bit")
 
 
 def raster_values(points: DataFrame, tiles: DataFrame, size: float, cols: tuple[str, str] = ("lon", "lat")) -> DataFrame:

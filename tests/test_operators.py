@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from skylattice.functions import geo
@@ -148,3 +149,17 @@ def test_plans_stay_equi_joins(spark):
     for name in ("obstacles_nearby", "nearest_airport", "airspace_at_point", "raster_point_value"):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan, name
+
+
+def test_regions_beyond_a_mask_are_refused(spark):
+    from skylattice.operators import spatial
+
+    points = spark.createDataFrame([(1, 5.0, 5.0)], "id long, lon double, lat double")
+    regions = lambda bits: spark.createDataFrame([(b, f"r{k}", 0.0, 10.0, 0.0, 10.0) for k, b in enumerate(bits)], "bit int, name string, min_lon double, max_lon double, min_lat double, max_lat double")
+    all_of_them = regions(range(32))
+    masked = spatial.region_mask(points, all_of_them)
+    assert masked.first()["mask"] == (1 << 32) - 1 and spatial.expand_mask(masked, all_of_them).count() == 32
+    for bits in ([*range(32), 31], [0, 32], [-1], [None]):
+        for f in (lambda r: spatial.region_mask(points, r), lambda r: spatial.expand_mask(masked, r)):
+            with pytest.raises(ValueError):
+                f(regions(bits))
