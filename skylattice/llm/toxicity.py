@@ -4,11 +4,13 @@ Each word enters as its own vector (known words) beside the mean vector of its h
 A window of WINDOW words goes through a gated recurrent layer in both directions, attention pools the states, and a
 linear unit gives a logit; windows overlap by half, all of them are scored, and a document's logit is its highest.
 
-Fitting uses at most `per_class` labelled rows of each class and `per_class * max_chars` characters, without near copies: in hash
+Fitting uses at most `per_class` labelled rows of each class and `per_class * max_chars` characters: in hash
 order of their ids rows of at most `max_chars` characters, and where these are too few longer ones, whole, or in evenly
-spaced parts where they don't fit into what is left; those bounds are parameters. Scoring covers every text in full; very long texts go by
-in blocks of words that overlap by a window. Null and empty texts get the score of one empty window. Without rows of
-both classes there is nothing to learn and every score is 0. A row's id, language, source and labels never enter its score.
+spaced parts where they don't fit into what is left; of near copies one is learned from (`copies=False`); those bounds are parameters.
+Scoring covers every text in full, by one path for all lengths: words go by in blocks that overlap by WINDOW - STRIDE words, so
+the windows of a text are the same wherever blocks end. Null and empty texts get the score of one empty window. Ties and repeated
+rows get equal scores. Without rows of both classes there is nothing to learn and every score is 0. A row's id, language, source
+and labels never enter its score.
 """
 
 from __future__ import annotations
@@ -16,21 +18,37 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORD = re.compile(r"[^\W_]+")
+from .common import fresh, stage
+
+WORD, BREAK = re.compile(r"[^\W_]+"), re.compile(r"[\W_]")
 WINDOW, STRIDE, HIDDEN, WORD_DIM, CHAR_DIM, TRIGRAMS, ATTEND = 24, 12, 8, 8, 8, 4096, 8
-BLOCK_WORDS, MEMO = 60_000, 300_000
+BLOCK_WORDS, BLOCK_CHARS, MEMO = 30_000, 1 << 17, 200_000
 PAD, UNKNOWN = 0, 1
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-case words; a word that follows itself counts once, so that stuttering junk says no more than its word."""
-    words = WORD.findall((text or "").lower())
-    return [w for w, before in zip(words, ["", *words]) if w != before]
+    return WORD.findall((text or "").lower())
+
+
+def blocks_of(text: str | None):
+    """The words of a text in blocks of whole windows; each block begins with the last WINDOW - STRIDE words of the one before."""
+    low, at, held, size = (text or "").lower(), 0, [], WINDOW + STRIDE * (BLOCK_WORDS // STRIDE)
+    while at < len(low):
+        end = BREAK.search(low, at + BLOCK_CHARS) if at + BLOCK_CHARS < len(low) else None
+        end = end.start() if end else len(low)
+        held += WORD.findall(low, at, end)
+        at = end
+        while len(held) > size:
+            yield held[:size]
+            held = held[size - WINDOW + STRIDE :]
+    yield held
 
 
 def trigrams(word: str) -> list[int]:
@@ -180,12 +198,10 @@ class Scorer:
         return np.concatenate(out), owner, np.arange(len(owner)) - first
 
     def scores(self, texts) -> np.ndarray:
-        """Probability per text; texts are gathered to blocks of words, long ones are cut with a window of overlap."""
+        """Probability per text; words are gathered to blocks, whether they come from one text or from many."""
         top, docs, of, held = np.full(len(texts), -np.inf), [], [], 0
         for k, text in enumerate(texts):
-            part: list[str] = []
-            for m in [words_of(text)] if len(text or "") < 1 << 20 else self.stream(text):
-                part = m
+            for part in blocks_of(text):
                 docs.append(part)
                 of.append(k)
                 held += len(part)
@@ -196,18 +212,6 @@ class Scorer:
             self.flush(docs, of, top)
         return sigmoid(top + self.net.shift)
 
-    def stream(self, text: str):
-        """Blocks of words of a very long text; each begins with the last WINDOW - 1 words of the one before."""
-        held: list[str] = []
-        for m in WORD.finditer(text):
-            word = m[0].lower()
-            if not held or word != held[-1]:
-                held.append(word)
-            if len(held) >= BLOCK_WORDS:
-                yield held
-                held = held[1 - WINDOW :]
-        yield held
-
     def flush(self, docs, of, top):
         logit, owner, _ = self.logits(docs)
         np.maximum.at(top, np.array(of)[owner], logit)
@@ -226,12 +230,13 @@ def distinct_rows(rows: list[tuple[list[str], int]]) -> list[tuple[list[str], in
     return out
 
 
-def train(rows: list[tuple[str, int]], epochs: int = 5, batch: int = 128, min_steps: int = 60, vocab_size: int = 20_000, singles: int = 800, rate: float = 0.01, seed: int = 7) -> Net | None:
+def train(rows: list[tuple[str, int]], epochs: int = 5, batch: int = 128, min_steps: int = 60, vocab_size: int = 20_000, singles: int = 800, rate: float = 0.01, seed: int = 7, copies: bool = False) -> Net | None:
     """Fits on document labels: each epoch takes a toxic document's likeliest window and a clean one's likeliest and two others.
 
-    `singles` words of clean documents are added as clean texts of one word.
+    `singles` words of clean documents are added as clean texts of one word. Without `copies` near copies of a row are left out.
     """
-    data = distinct_rows([(words_of(t), int(y)) for t, y in rows])
+    data = [(words_of(t), int(y)) for t, y in rows]
+    data = data if copies else distinct_rows(data)
     label = np.array([y for _, y in data])
     if not len(data) or label.min() == label.max():
         return None
@@ -333,57 +338,68 @@ def threshold(top: np.ndarray, label: np.ndarray) -> float:
     return float(cuts[best[np.argmax(gap[best])]])
 
 
-def spaced(text, n, share: int, part: int):
+def spaced(text, n, share, part: int):
     """The text of n characters, or where that is over `share` as many parts of `part` characters as fit, spread evenly from its start to its end."""
-    k = max(1, share // (part + 1))
-    at = lambda i: (i * (n - part) / max(1, k - 1)).cast("int") + 1
-    return F.when(n <= share, text).otherwise(F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.substring(text, at(i), F.lit(part)))))
+    share = share if isinstance(share, Column) else F.lit(share)
+    k = F.greatest(F.lit(1), F.floor(share / (part + 1))).cast("int")
+    at = lambda i: (i * (n - part) / F.greatest(F.lit(1), k - 1)).cast("int") + 1
+    return F.when(n <= share, text).otherwise(F.concat_ws(" ", F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.substring(text, at(i), F.lit(part)))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_chars: int = 4000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Net | None:
-    """Trains on labelled rows whose crc32(id as text) mod 5 isn't 0: those of up to `max_chars` characters first, and longer
-    ones where these don't fill `per_class`. The longer rows of a class share what is left of per_class * max_chars characters."""
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("y in (0, 1) and crc32(cast(id as string)) % 5 <> 0")
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_chars: int = 4000, copies: bool = False, fold: int = 0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Net | None:
+    """Trains on labelled rows whose crc32(id as text) mod 5 isn't 0 (nor `fold`, which is for comparing variants): those of up to
+    `max_chars` characters first, and longer ones where these don't fill `per_class`. The longer rows of a class share what is left of
+    per_class * max_chars characters. Of rows that repeat an id one text is taken, and it is toxic if any label says so.
+
+    Two scans of docs: the labelled rows' lengths, then the chosen rows' texts.
+    """
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("y in (0, 1)").where(~(F.crc32(F.col("id").cast("string")) % 5).isin(0, fold))
     known = known.groupBy("id").agg(F.max("y").alias("y"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("n", F.length("text")).where("n > 0")
-    rows = []
     # ids first, so that only the chosen rows' texts move; the order by hash spreads the choice over the whole table
-    sized = texts.select("id", "n").join(known, "id").groupBy("id", "y").agg(F.min("n").alias("n"))
+    sized = stage(texts.select("id", "n").join(known, "id").groupBy("id", "y").agg(F.min("n").alias("n")), "sized")
+    chosen: dict = {}
+    for y in (0, 1):
+        short, left = True, per_class
+        while left:
+            got = sized.where((F.col("y") == y) & ((F.col("n") <= max_chars) == short)).orderBy(F.xxhash64("id"), "id").limit(left).collect()
+            chosen |= {r["id"]: (y, short, r["n"]) for r in got}
+            if not short:
+                break
+            short, left = False, left - len(got)
+    if {y for y, _, _ in chosen.values()} != {0, 1}:
+        return None
+    share = {}
     for y in (0, 1):
-        chosen = sized.where((F.col("y") == y) & (F.col("n") <= max_chars)).select("id").orderBy(F.xxhash64("id"), "id").limit(per_class)
-        short = [(r["text"], y, r["id"]) for r in texts.where(F.col("n") <= max_chars).join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("text").alias("text")).collect()]
-        rows += short
-        if len(short) == per_class:
-            continue
-        chosen = sized.where((F.col("y") == y) & (F.col("n") > max_chars)).orderBy(F.xxhash64("id"), "id").limit(per_class - len(short))
-        lengths = [r["n"] for r in chosen.select("n").collect()]
-        if lengths:
-            share = (per_class * max_chars - sum(len(t) for t, _, _ in short)) // len(lengths)
-            long = texts.join(F.broadcast(chosen.select("id")), "id").select("id", spaced(F.col("text"), F.col("n"), share, max_chars).alias("text"))
-            rows += [(r["text"], y, r["id"]) for r in long.groupBy("id").agg(F.min("text").alias("text")).collect()]
+        long = [n for of, short, n in chosen.values() if of == y and not short]
+        share[y] = (per_class * max_chars - sum(n for of, short, n in chosen.values() if of == y and short)) // max(1, len(long))
+    # at most 2 x per_class rows
+    kind = docs.schema[id_col].dataType.simpleString()
+    wanted = docs.sparkSession.createDataFrame([(i, n, share[y] if not short else n) for i, (y, short, n) in chosen.items()], f"id {kind}, n int, share int")
+    found = texts.join(F.broadcast(wanted), ["id", "n"]).select("id", spaced(F.col("text"), F.col("n"), F.col("share"), max_chars).alias("text"))
+    rows = [(r["text"], chosen[r["id"]][0], r["id"]) for r in found.groupBy("id").agg(F.min("text").alias("text")).collect()]
     rows.sort(key=lambda r: (zlib.crc32(str(r[2]).encode()), r[2]))
-    return train([(t, y) for t, y, _ in rows])
+    return train([(t, y) for t, y, _ in rows], copies=copies)
 
 
-def score(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """(id, score) per row, or docs with a column `score` if keep: a map over the scan."""
-    names = docs.columns if keep else [id_col]
-    if keep and "score" in {c.lower() for c in names}:
-        raise ValueError("docs already has a column score")
-    src = docs.select(*(docs[c] for c in names), docs[text_col].alias("__text"))
-    if net is None:
-        return src.drop("__text").withColumn("score", F.lit(0.0))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "__text") + ", score double"
+def score(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, out: str = "score") -> DataFrame:
+    """(id, score) per row, or docs with a column `out` if keep. Only the text goes to Python, in a map over the scan."""
+    if keep and out.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"docs already has a column {out}")
 
-    def run(batches):
+    @F.arrow_udf("double")
+    def toxic(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(net)
-        for pdf in batches:
-            found = scorer.scores(pdf.pop("__text").tolist())
-            yield pdf.assign(score=found.astype(np.float64))
+        for texts in batches:
+            # few texts at a time are Python strings
+            found = [scorer.scores(texts.slice(at, 256).to_pylist()) for at in range(0, len(texts), 256)]
+            yield pa.array(np.concatenate(found or [np.empty(0)]).astype(np.float64))
 
-    return src.mapInPandas(run, schema)
+    value = F.lit(0.0) if net is None else toxic(docs[text_col])
+    return docs.select(*(docs[c] for c in (docs.columns if keep else [id_col])), value.alias(out))
 
 
 def clean(docs: DataFrame, labels: DataFrame, at: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose score is below `at`, with the columns of docs."""
-    return score(docs, fit(docs, labels, id_col=id_col, text_col=text_col), id_col, text_col, keep=True).where(F.col("score") < at).drop("score")
+    """The rows whose score is below `at`, with the columns of docs, whatever these are called."""
+    out = fresh(docs, "score")
+    return score(docs, fit(docs, labels, id_col=id_col, text_col=text_col), id_col, text_col, keep=True, out=out).where(F.col(out) < at).select(*docs.columns)

@@ -27,8 +27,11 @@ rnd = random.Random(5)
 WORDS = ["alpha", "beta", "Gamma", "été", "x1", "😀", "don't", "the", "of", "\u3000", "zz-zz"]
 PROSE = [" ".join(rnd.choice(WORDS) for _ in range(rnd.randint(1, 60))) for _ in range(40)]
 LONG = " ".join(rnd.choice(WORDS) for _ in range(60_000))
+END = "<|endoftext|>"
+# the added token: at the start, in the middle, twice, cut short, and across the edge of a block
+ADDED = [f"{END} a", f"a {END} b", f"a{END}b  {END}{END}\n", f"{END[:-1]} {END[1:]}", f"<|{END}", "x " * (bpe.BLOCK // 2 - 3) + END + " y", "z" * (bpe.BLOCK - 5) + END, f"é{END} 's"]
 EDGE = [None, "", " ", "\n\t", "a", "a b", PROSE[0], PROSE[0], PROSE[0], LONG, "  lead", "trail  ", "\u0000x", "<|endoftext|>", "a" * 3000]
-TEXTS = EDGE + PROSE
+TEXTS = EDGE + ADDED + PROSE
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +39,6 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     t.no_padding()
     t.no_truncation()
     return t
@@ -355,14 +357,65 @@ def test_toxicity_scores(spark, net):
     assert {r["score"] for r in toxicity.score(docs_of(spark, ["a"]), None).collect()} == {0.0}
 
 
+def brute_score(net, text):
+    """Every window of every text, word by word, in plain loops and double precision."""
+    words = re.findall(r"[^\W_]+", (text or "").lower())
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    n, h, best = len(words), toxicity.HIDDEN, -np.inf
+    squash = lambda x: 1 / (1 + np.exp(-x))
+    for k in range(1 + max(0, -(-(n - 24) // 12))):
+        window = words[12 * k : 12 * k + 24]
+        rows = [np.concatenate([p["words"][net.vocab.get(w, 1)], p["chars"][toxicity.trigrams(w)].mean(axis=0)]) for w in window]
+        rows += [np.zeros(len(p["in"]))] * (24 - len(rows))
+        ways = []
+        for way in (0, 1):
+            state, states = np.zeros(h), []
+            for x in rows[:: -1 if way else 1]:
+                g = (x @ p["in"] + p["in_b"])[3 * h * way : 3 * h * (way + 1)]
+                a = state @ p["rec"][way]
+                z, r = squash(g[:h] + a[:h]), squash(g[h : 2 * h] + a[h : 2 * h])
+                state = (1 - z) * np.tanh(g[2 * h :] + r * a[2 * h :]) + z * state
+                states.append(state)
+            ways.append(states[:: -1 if way else 1])
+        both = [np.concatenate(x) for x in zip(*ways)]
+        heat = [float(np.tanh(x @ p["att"] + p["att_b"]) @ p["att_v"]) if i < len(window) else -30.0 for i, x in enumerate(both)]
+        share = np.exp(np.array(heat) - max(heat))
+        pooled = sum(s * x for s, x in zip(share / share.sum(), both))
+        best = max(best, float(pooled @ p["out"] + p["out_b"][0]))
+    return squash(best + net.shift)
+
+
+def test_toxicity_forward_by_hand(net):
+    texts = ["", None, "one", "a vile day", "x x x x x vile x x", "vile " * 40, "İstanbul vile STRAẞE é_é"] + [" ".join(rnd.choice([*WORDS, "vile", f"w{rnd.randrange(300)}"]) for _ in range(n)) for n in (23, 24, 25, 36, 37, 48, 49, 200)]
+    assert np.allclose(toxicity.Scorer(net).scores(texts), [brute_score(net, t) for t in texts], atol=1e-4)
+
+
 def test_toxicity_stream_equals_whole(net, monkeypatch):
-    words = [rnd.choice(WORDS[:4]) for _ in range(500)] + ["vile"] + [rnd.choice(WORDS[:4]) for _ in range(300)]
-    text = " ".join(words)
-    whole = toxicity.Scorer(net).scores([text])[0]
-    monkeypatch.setattr(toxicity, "BLOCK_WORDS", 100)
-    blocks = list(toxicity.Scorer(net).stream(text))
-    assert len(blocks) > 5 and whole > 0.5
-    assert [w for k, b in enumerate(blocks) for w in b[(toxicity.WINDOW - 1) * (k > 0) :]] == toxicity.words_of(text)
+    """Wherever blocks end, windows and scores are those of the whole text."""
+    texts = [" ".join(rnd.choice([*WORDS[:4], "İstanbul", "_", f"w{rnd.randrange(300)}", *(["vile"] if k % 3 == 0 else [])]) for _ in range(rnd.choice([0, 1, 100, 108, 109, 120, 131, 132, 133, 801]))) for k in range(60)]
+    whole = toxicity.Scorer(net).scores(texts)
+    alone = [toxicity.Scorer(net).scores([t])[0] for t in texts]
+    for words, chars in ((96, 1 << 17), (100, 37), (12, 1)):
+        monkeypatch.setattr(toxicity, "BLOCK_WORDS", words)
+        monkeypatch.setattr(toxicity, "BLOCK_CHARS", chars)
+        for t in texts:
+            blocks = list(toxicity.blocks_of(t))
+            assert [w for k, b in enumerate(blocks) for w in b[(toxicity.WINDOW - toxicity.STRIDE) * (k > 0) :]] == toxicity.words_of(t)
+            assert sum(toxicity.window_count(len(b)) for b in blocks) == toxicity.window_count(len(toxicity.words_of(t)))
+        blocked = [toxicity.Scorer(net).scores([t])[0] for t in texts]
+        assert np.allclose(blocked, whole, atol=1e-6) and np.allclose(alone, whole, atol=1e-6)
+
+
+def test_toxicity_keeps_any_columns(spark, net, monkeypatch):
+    rows = [(i, "alpha vile beta", "s", 0.5, "k") for i in range(3)] + [(9, "alpha the of beta", "s", 0.5, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Score string, __text double, score_ string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    assert toxicity.clean(docs, labels.where("toxic = 5")).collect() == docs.collect()
+    assert toxicity.score(docs, net, keep=True, out="points").columns == [*docs.columns, "points"]
+    with pytest.raises(ValueError):
+        toxicity.score(docs, net, keep=True)
+    monkeypatch.setattr(toxicity, "fit", lambda *a, **k: net)
+    assert toxicity.clean(docs, labels).collect() == docs.where("doc_id = 9").collect()
 
 
 def test_toxicity_held_out(spark):
