@@ -11,6 +11,7 @@ A text is fed in blocks. Three layers keep the state constant:
    within the lookahead, as nearly all do, is settled at its end by the same test (`Merges.window`).
 3. a memo of bounded size from parts to their ids, so that frequent words are transduced once.
 
+The file's added tokens (an end-of-text mark) are taken out of the whole text first, as the library does.
 Null text counts as empty: no ids, the SHA-256 of nothing. Repeated rows give repeated results.
 """
 
@@ -49,11 +50,17 @@ class Merges:
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        letters = byte_letters()
+            held = json.load(f)
+        model, letters = held["model"], byte_letters()
         raw = {t: bytes(letters[c] for c in t) for t in model["vocab"] if all(c in letters for c in t)}
         self.ids = {b: model["vocab"][t] for t, b in raw.items()}
         self.bytes = {i: b for b, i in self.ids.items()}
+        # tokens that stand outside the merges: they are taken out of a text before it is split
+        self.added = {t["content"]: t["id"] for t in held.get("added_tokens") or ()}
+        if any(t.get(x) for t in held.get("added_tokens") or () for x in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that depend on what stands beside them aren't supported")
+        self.bytes |= {i: t.encode("utf-8") for t, i in self.added.items()}
+        self.special = re.compile("|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
         for n, pair in enumerate(model["merges"]):
             a, b = (raw[x] for x in (pair.split(" ") if isinstance(pair, str) else pair))
@@ -263,6 +270,15 @@ class Encoder:
         return ids
 
     def blocks(self, text: str) -> Iterator[bytes]:
+        """Ids block by block. Added tokens are found in the whole text, so that no block's edge cuts one; what is between them encodes by itself."""
+        at = 0
+        for m in self.merges.special.finditer(text):
+            yield from self.plain(text[at : m.start()])
+            yield pack("<I", self.merges.added[m[0]])
+            at = m.end()
+        yield from self.plain(text[at:] if at else text)
+
+    def plain(self, text: str) -> Iterator[bytes]:
         memo, get = self.memo, self.memo.get
         for parts in pieces(text):
             found = [get(p) for p in parts]
