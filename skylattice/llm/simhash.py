@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, fp long")
 
 
-def _joined(near: np.ndarray, same: bool) -> np.ndarray:
+def joined(near: np.ndarray, same: bool) -> np.ndarray:
     """Of the rows and columns of a block of links: for each the least number (rows first) that links lead to."""
     n, m = near.shape
     rows, cols = np.arange(n), np.arange(m) if same else np.arange(n, n + m)
@@ -94,7 +94,7 @@ def _verify_blocks(radius: int, block: int = 1024):
         for i in range(0, len(fps), block):
             for j in range(i, len(fps), block):
                 left, right = fps[i : i + block], fps[j : j + block]
-                root = _joined(np.bitwise_count(left[:, None] ^ right[None, :]) <= radius, i == j)
+                root = joined(np.bitwise_count(left[:, None] ^ right[None, :]) <= radius, i == j)
                 both = left if i == j else np.concatenate([left, right])
                 moved = root != np.arange(len(both))
                 out.append(np.stack([both[root[moved]], both[moved]]))
