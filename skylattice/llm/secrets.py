@@ -22,9 +22,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import fresh, stage
 
-BUCKET = 2048
+BUCKET, RUN = 2048, 256
 
 
 def either_case(word: str) -> str:
@@ -166,6 +166,26 @@ def candidates(texts: DataFrame, rules: tuple[Rule, ...], buckets: int) -> DataF
     return index.select(F.explode(found).alias("r")).select("r.bit", F.explode("r.keys").alias("key")).groupBy("key").agg(F.bit_or("bit").alias("mask"))
 
 
+def let(value: Column, use) -> Column:
+    """use(value) with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, op) -> Column:
+    """Running totals of an array of integers under an associative op with identity 0, in runs of RUN, so that arrays grow within a run only."""
+    none = F.expr("cast(array() as array<int>)")
+    within = lambda of, start, keep: F.aggregate(of, F.struct(start.alias("at"), none.alias("out")), lambda acc, x: F.struct(op(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(keep(acc["at"], x))).alias("out")), lambda acc: acc["out"])
+
+    def in_runs(v: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(v) - 1) / RUN).cast("int"))), lambda i: F.slice(v, i * RUN + 1, RUN))
+        return let(runs, lambda r: F.flatten(F.zip_with(r, within(F.transform(r, lambda x: F.aggregate(x, F.lit(0), op)), F.lit(0), lambda at, x: at), lambda x, start: within(x, start, op))))
+
+    return let(values, in_runs)
+
+
+NONE = "cast(array() as array<struct<start: int, kind: int, end: int>>)"
+
+
 def _spans(text: Column, number: int, rule: Rule) -> Column:
     """array<struct<start, kind, end>> of the leftmost non-overlapping matches that are long enough."""
     pattern = F.lit(rule.pattern)
@@ -175,34 +195,34 @@ def _spans(text: Column, number: int, rule: Rule) -> Column:
         sizes = F.zip_with(sizes, F.regexp_extract_all(text, pattern, F.lit(rule.group)), lambda a, b: F.struct(a["gap"].alias("gap"), a["n"].alias("n"), (F.length(b) >= rule.least).alias("ok")))
     else:
         sizes = F.transform(sizes, lambda a: F.struct(a["gap"].alias("gap"), a["n"].alias("n"), F.lit(True).alias("ok")))
-    none = "cast(array() as array<struct<start: int, kind: int, end: int>>)"
-    folded = F.aggregate(
-        F.filter(sizes, lambda a: a["n"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.expr(none).alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["n"]).alias("at"),
-            F.when(x["ok"], F.concat(acc["out"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"), F.lit(number).alias("kind"), (acc["at"] + x["gap"] + x["n"]).alias("end"))))).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(text.rlike(rule.pattern), folded).otherwise(F.expr(none))
-
-
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """docs with the column __spans: array<struct<start, kind, end>> sorted by start and kind; kind is the rule's number."""
-    rows = docs.withColumn("__key", F.md5(F.coalesce(docs[text_col], F.lit(""))))
+
+    def placed(found: Column) -> Column:
+        ends = running(F.transform(found, lambda a: a["gap"] + a["n"]), lambda x, y: x + y)
+        spans = F.zip_with(found, ends, lambda a, end: F.struct((end - a["n"]).alias("start"), F.lit(number).alias("kind"), end.alias("end"), a["ok"].alias("ok")))
+        return F.transform(F.filter(spans, lambda x: x["ok"]), lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
+
+    return F.when(text.rlike(rule.pattern), let(F.filter(sizes, lambda a: a["n"].isNotNull()), placed)).otherwise(F.expr(NONE))
+
+
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", out: str = "__spans") -> DataFrame:
+    """docs with the column `out`: array<struct<start, kind, end>> sorted by start and kind; kind is the rule's number.
+
+    docs may have columns of any names but `out` (ValueError)."""
+    if out.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"docs already has a column {out}")
+    key, mask = fresh(docs, "__key"), fresh(docs, "__mask")
+    rows = docs.withColumn(key, F.md5(F.coalesce(docs[text_col], F.lit(""))))
     buckets = max(1, docs.count() // BUCKET)
-    hits = candidates(rows.select(F.col("__key").alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), rules, buckets)
+    hits = candidates(rows.select(F.col(key).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), rules, buckets)
     # written, as a join with an aggregate on its own key can't be split where a text is hot
     hits = stage(hits, "hits")
-    met = rows.join(hits.select(F.col("key").alias("__key"), F.col("mask").alias("__mask")), "__key", "left")
+    met = rows.join(hits.select(F.col("key").alias(key), F.col("mask").alias(mask)), key, "left")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    none = F.expr("cast(array() as array<struct<start: int, kind: int, end: int>>)")
     parts = []
     for k, r in enumerate(rules):
         full = trigram_query(r.pattern) == ("and", ())
-        parts.append(_spans(text, k, r) if full else F.when(F.coalesce(F.col("__mask"), F.lit(0)).bitwiseAND(F.lit(1 << k)) != 0, _spans(text, k, r)).otherwise(none))
-    return met.withColumn("__spans", F.array_sort(F.concat(*parts))).select(*(met[c] for c in docs.columns), "__spans")
+        parts.append(_spans(text, k, r) if full else F.when(F.coalesce(F.col(mask), F.lit(0)).bitwiseAND(F.lit(1 << k)) != 0, _spans(text, k, r)).otherwise(F.expr(NONE)))
+    return met.withColumn(out, F.array_sort(F.concat(*parts))).select(*(met[c] for c in docs.columns), out)
 
 
 def describe(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -212,20 +232,24 @@ def describe(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """docs with every span replaced by [kind]; overlapping spans become one, named for the first. Null texts stay null."""
+    """docs with every span replaced by [kind]; overlapping spans become one, named for the first. Null texts stay null.
+
+    Pieces are cut from a fixed-width encoding and joined once, so the work is in proportion to the text however many spans it has."""
     kinds = F.array(*(F.lit(f"[{r.kind}]") for r in rules))
-    text = F.col(text_col)
-    made = F.aggregate(
-        F.col("__spans"),
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(kinds, s["kind"])).alias("out")),
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
-    found = scan(docs, rules, text_col)
-    return found.withColumn(text_col, F.when(F.size("__spans") > 0, made).otherwise(text)).select(*docs.columns)
+    text, wide = F.col(text_col), "UTF-32"
+    cut = lambda data, a, b: F.decode(F.substring(data, a * 4 + 1, (b - a) * 4), wide)
+
+    def masked(spans: Column, data: Column) -> Column:
+        # the end of all spans before: a span that starts at or after it begins a new mask, others belong to the last one
+        ends = running(F.transform(spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+        before = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(ends) - 1))
+        said = F.zip_with(spans, before, lambda s, at: F.when(s["start"] >= at, F.concat(cut(data, at, s["start"]), F.get(kinds, s["kind"]))).otherwise(""))
+        return F.concat(F.array_join(said, ""), cut(data, F.element_at(ends, -1), F.octet_length(data).cast("int") / 4))
+
+    spans = fresh(docs, "__spans")
+    found = scan(docs, rules, text_col, spans)
+    made = let(F.encode(text, wide), lambda data: let(F.col(spans), lambda s: masked(s, data)))
+    return found.withColumn(text_col, F.when(F.size(spans) > 0, made).otherwise(text)).select(*docs.columns)
 
 
 def digest_sql() -> str:

@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage, stage_path
@@ -28,6 +28,11 @@ END, CHUNK, SEGMENT, FILE_BYTES = "\r\n\r\n", 4096, 16384, 16 << 20
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
 
+def joined(parts: Column) -> Column:
+    """The parts of a binary array in one step, in proportion to their bytes."""
+    return F.unhex(F.array_join(F.transform(parts, F.hex), ""))
+
+
 def marked(pages: DataFrame, least: int, id_col: str, html_col: str, url_col: str) -> DataFrame:
     """(id, url, data, digest, refers): refers is the page that holds the payload, null for those that hold it themselves."""
     data = F.coalesce(F.col(html_col).cast("binary"), F.lit(b""))
@@ -47,7 +52,7 @@ def write(pages: DataFrame, path: str, least: int = 1000, segment: int = SEGMENT
     size_of = F.octet_length("data")
     pieces = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(size_of, F.lit(1)) - 1) / chunk).cast("int")), lambda i: F.substring(F.col("data"), i * chunk + 1, F.lit(chunk)))
     framed = F.transform(F.filter(pieces, lambda p: F.octet_length(p) > 0), lambda p: F.concat(text(F.lower(F.hex(F.octet_length(p)))), F.lit(b"\r\n"), p, F.lit(b"\r\n")))
-    body = F.aggregate(framed, F.lit(HTTP), lambda acc, p: F.concat(acc, p), lambda acc: F.concat(acc, F.lit(b"0\r\n\r\n")))
+    body = F.concat(F.lit(HTTP), joined(framed), F.lit(b"0\r\n\r\n"))
     rows = rows.withColumn("block", F.when(F.col("refers").isNull(), body).otherwise(F.lit(HTTP)))
     total = F.octet_length("block")
     segments = F.transform(F.sequence(F.lit(0), F.floor((total - 1) / segment).cast("int")), lambda i: F.struct((i + 1).alias("no"), F.substring(F.col("block"), i * segment + 1, F.lit(segment)).alias("part")))
@@ -122,8 +127,13 @@ def http_payload(block: bytes) -> bytes | None:
 RECORD = "uid string, page string, url string, type string, digest string, refers string, no int, total long, part binary"
 
 
+def number(x: str | None, most: int) -> int | None:
+    """A header's count; None where it is missing, -1 where it isn't a number up to `most`."""
+    return None if x is None else int(x) if x.isascii() and x.isdigit() and len(x) < 20 and int(x) <= most else -1
+
+
 def records(spark, path: str) -> DataFrame:
-    """All records of the archives in a folder, one row a segment; uid is the origin's record id."""
+    """All records of the archives in a folder, one row a segment; uid is the origin's record id, no is 0 for records in one piece, -1 for a broken header."""
     import gzip
 
     import pandas as pd
@@ -134,8 +144,8 @@ def records(spark, path: str) -> DataFrame:
                 rows = []
                 for h, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                     uid = h.get("warc-segment-origin-id", h.get("warc-record-id", ""))
-                    no, total = h.get("warc-segment-number", "0"), h.get("warc-segment-total-length")
-                    rows.append((uid, h.get("warc-page-id"), h.get("warc-target-uri"), h.get("warc-type"), (h.get("warc-payload-digest") or "").removeprefix("sha1:"), h.get("warc-refers-to-page"), int(no), int(total) if total else None, block))
+                    no, total = number(h.get("warc-segment-number"), (1 << 31) - 1), number(h.get("warc-segment-total-length"), (1 << 63) - 1)
+                    rows.append((uid, h.get("warc-page-id"), h.get("warc-target-uri"), h.get("warc-type"), (h.get("warc-payload-digest") or "").removeprefix("sha1:"), h.get("warc-refers-to-page"), 0 if no is None else no, total, block))
                 for k in range(0, len(rows), 500):
                     out = pd.DataFrame(rows[k : k + 500], columns=[x.split(" ")[0] for x in RECORD.split(", ")])
                     yield out.assign(total=out["total"].astype("Int64"))
@@ -148,13 +158,13 @@ def read(spark, path: str) -> DataFrame:
     """(page_id, url, type, digest, refers_to, payload, reason): whole records; reason is null for sound ones."""
     found = records(spark, path)
     # only segmented records are shuffled; a group is one record
-    several = found.where("no > 0").groupBy("uid").agg(
+    several = found.where("no <> 0").groupBy("uid").agg(
         F.max("page").alias("page"), F.max("url").alias("url"), F.max(F.when(F.col("no") == 1, F.col("type"))).alias("type"), F.max(F.when(F.col("no") == 1, F.col("digest"))).alias("digest"),
         F.max("refers").alias("refers"), F.max("total").alias("total"), F.array_sort(F.collect_list(F.struct("no", "part"))).alias("parts"),
     )
-    joined = F.aggregate("parts", F.lit(b""), lambda acc, s: F.concat(acc, s["part"]))
+    block = joined(F.transform("parts", lambda s: s["part"]))
     gapless = F.transform("parts", lambda s: s["no"]) == F.sequence(F.lit(1), F.size("parts"))
-    several = several.select("page", "url", "type", "digest", "refers", joined.alias("block"), F.when(~gapless, "segment missing or repeated").when(F.col("total").isNull(), "no last segment").when(F.octet_length(joined) != F.col("total"), "length differs").alias("reason"))
+    several = several.select("page", "url", "type", "digest", "refers", block.alias("block"), F.when((F.get("parts", F.lit(0))["no"] < 0) | (F.col("total") < 0), "segment header broken").when(~gapless, "segment missing or repeated").when(F.col("total").isNull(), "no last segment").when(F.octet_length(block) != F.col("total"), "length differs").alias("reason"))
     single = found.where("no = 0").select("page", "url", "type", "digest", "refers", F.col("part").alias("block"), F.lit(None).cast("string").alias("reason"))
 
     def decode(batches):
@@ -181,9 +191,10 @@ def round_trip(pages: DataFrame, least: int = 1000, **how) -> DataFrame:
     got = read(spark, path)
     back = got.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.when(F.col("payload").isNotNull(), F.sha1("payload")).alias("payload_digest"), "type", "digest", "refers_to", "reason")
     back = stage(back, "warc-rows")
-    held = back.where("type = 'response' and payload_bytes is not null").groupBy("digest").agg(F.max("payload_bytes").alias("held_bytes"), F.max("payload_digest").alias("held_digest"))
+    # the record that a revisit names must hold the payload that it names
+    held = back.where("type = 'response' and payload_bytes is not null").groupBy(F.col("page_id").alias("refers_to"), "digest").agg(F.max("payload_bytes").alias("held_bytes"), F.max("payload_digest").alias("held_digest"))
     held = stage(held, "held")
-    revisits = back.where("type = 'revisit'").join(held, "digest", "left")
+    revisits = back.where("type = 'revisit'").join(held, ["refers_to", "digest"], "left")
     plain = back.where("type = 'response'").select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to", "reason")
     return plain.union(revisits.select("page_id", "held_bytes", "held_digest", F.col("type").alias("record_type"), "refers_to", F.when(F.col("held_bytes").isNull(), "payload not found").alias("reason")))
 

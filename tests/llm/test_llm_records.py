@@ -129,6 +129,7 @@ def test_archive_faults(spark, tmp_path):
         "segment missing or repeated": rec("response", own, 1, "abc") + rec("continuation", origin, 3, "def", "WARC-Segment-Total-Length: 6\r\n"),
         "no last segment": rec("response", own, 1, "abc") + rec("continuation", origin, 2, "def"),
         "length differs": rec("response", own, 1, "abc") + rec("continuation", origin, 2, "def", "WARC-Segment-Total-Length: 9\r\n"),
+        "segment header broken": rec("response", own, 1, "abc") + rec("continuation", origin, "2x", "def", "WARC-Segment-Total-Length: 6\r\n"),
         "framing broken": rec("response", own, 1, HEAD) + rec("continuation", origin, 2, "5\r\nab", f"WARC-Segment-Total-Length: {len(HEAD) + 5}\r\n"),
     }
     import gzip

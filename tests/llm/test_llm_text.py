@@ -253,6 +253,25 @@ def matches(q, grams):
     return q in grams if isinstance(q, str) else all(matches(p, grams) for p in q[1]) if q[0] == "and" else any(matches(p, grams) for p in q[1])
 
 
+def test_running_totals(spark):
+    df = spark.createDataFrame([([(7 * i) % 11 for i in range(n)],) for n in (0, 1, 255, 256, 257, 1000)], "v array<int>")
+    for op, want in ((lambda x, y: x + y, np.add), (lambda x, y: F.greatest(x, y), np.maximum)):
+        for r in df.select("v", secrets.running(F.col("v"), op).alias("r")).collect():
+            assert r["r"] == (want.accumulate(np.array(r["v"])).tolist() if r["v"] else [])
+
+
+def test_secrets_clashing_names_and_many_spans(spark):
+    many = "é " + " ".join(f"token={'x' * 6}{k:04d} 😀" for k in range(3000))
+    docs = spark.createDataFrame([(1, many, b"k", 3, "s", "m"), (2, "", b"l", 4, "t", "n")], "doc_id long, text string, `__key` binary, `__mask` int, `__Spans` string, mask string")
+    got = {r["doc_id"]: r for r in secrets.redact(docs).collect()}
+    assert got[1]["text"] == "é " + " ".join(["token=" * 0 + "[assign] 😀"] * 3000) and got[2]["text"] == ""
+    assert [tuple(got[1])[2:], tuple(got[2])[2:]] == [(bytearray(b"k"), 3, "s", "m"), (bytearray(b"l"), 4, "t", "n")]
+    with pytest.raises(ValueError):
+        secrets.scan(docs)
+    found = secrets.scan(docs, out="found").where("doc_id = 1").first()["found"]
+    assert [(s["start"], s["end"]) for s in found] == [m.span() for m in re.finditer(r"token=\w+", many)]
+
+
 def test_trigram_queries_never_lose_a_match():
     for k, rule in enumerate(secrets.RULES):
         q = secrets.trigram_query(rule.pattern)
