@@ -120,4 +120,5 @@ ORACLES: dict[str, str] = {
         r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from s)
         select query_id, rank, vec_id, score from r where rank <= 10""",
     "op5_secrets": secrets.digest_sql(),
+    "op6_url_ratio": urls.judge_sql(URL_RULES),
 }
