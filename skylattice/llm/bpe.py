@@ -30,12 +30,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 # Fixed value: the published split pattern of this vocabulary family.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPLIT = regex.compile(PATTERN)
 CUT = re.compile(r" (?=\S)")
 ODD = re.compile(r" (?=\s|\Z)")
-AHEAD, HOLD, MEMO, FITS, BLOCK, ONE = 3, 1 << 16, 400_000, 1_000_000, 1 << 20, (1,)
+AHEAD, HOLD, MEMO, FITS, BLOCK, ONE = 3, 1 << 16, 200_000, 500_000, 1 << 20, (1,)
 
 
 def byte_letters() -> dict[str, int]:
@@ -45,22 +47,33 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Merges:
-    """Vocabulary and merge list of a byte-level tokenizer file, and the lookahead they need."""
+class Vocabulary:
+    """Tokens of a byte-level tokenizer file, and the added ones that stand outside the merges."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            held = json.load(f)
+    def __init__(self, held: dict):
         model, letters = held["model"], byte_letters()
-        raw = {t: bytes(letters[c] for c in t) for t in model["vocab"] if all(c in letters for c in t)}
-        self.ids = {b: model["vocab"][t] for t, b in raw.items()}
-        self.bytes = {i: b for b, i in self.ids.items()}
-        # tokens that stand outside the merges: they are taken out of a text before it is split
+        self.raw = {t: bytes(letters[c] for c in t) for t in model["vocab"] if all(c in letters for c in t)}
+        self.ids = {b: model["vocab"][t] for t, b in self.raw.items()}
+        # added tokens are taken out of a text before it is split
         self.added = {t["content"]: t["id"] for t in held.get("added_tokens") or ()}
         if any(t.get(x) for t in held.get("added_tokens") or () for x in ("single_word", "lstrip", "rstrip")):
             raise ValueError("added tokens that depend on what stands beside them aren't supported")
-        self.bytes |= {i: t.encode("utf-8") for t, i in self.added.items()}
         self.special = re.compile("|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
+
+
+def read_file(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+class Merges(Vocabulary):
+    """Vocabulary and merge list of a byte-level tokenizer file, and the lookahead they need."""
+
+    def __init__(self, path: str):
+        held = read_file(path)
+        super().__init__(held)
+        model, raw = held["model"], self.raw
+        self.bytes = {i: b for b, i in self.ids.items()} | {i: t.encode("utf-8") for t, i in self.added.items()}
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
         for n, pair in enumerate(model["merges"]):
             a, b = (raw[x] for x in (pair.split(" ") if isinstance(pair, str) else pair))
@@ -241,7 +254,7 @@ def cut(text: str) -> list[str]:
 class Encoder:
     """Texts to ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, merges: Merges, part=None):
+    def __init__(self, merges: Vocabulary, part=None):
         self.merges, self.memo, self.words = merges, {}, {}
         self.part = part or self.transduce
 
@@ -318,16 +331,16 @@ def merges(path: str) -> Merges:
 @lru_cache(4)
 def encoder(path: str, native: bool = False) -> Encoder:
     """One per worker process, so that its memo outlives a task."""
-    return Encoder(merges(path), native_part(path) if native else None)
+    return native_encoder(path) if native else Encoder(merges(path))
 
 
-def native_part(path: str):
-    """A compiled encoder of one part over the same vocabulary, for operators that only need the ids."""
+def native_encoder(path: str) -> Encoder:
+    """An encoder whose parts are encoded by a compiled library over the same vocabulary, for operators that only need the ids."""
     import tiktoken
 
-    m = merges(path)
-    enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=m.ids, special_tokens={})
-    return lambda part: np.array(enc.encode_ordinary(part), dtype="<u4").tobytes()
+    held = Vocabulary(read_file(path))
+    enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=held.ids, special_tokens={})
+    return Encoder(held, lambda part: np.array(enc.encode_ordinary(part), dtype="<u4").tobytes())
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -337,6 +350,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """
     import pandas as pd
 
+    text_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary, decoded string" if keep_ids else "")
 

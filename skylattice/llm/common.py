@@ -22,6 +22,14 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def text_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Bounds an Arrow batch by bytes, as rows that hold whole texts are large: both sides hold a batch or two per task. Called by what sends texts to Python."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)))
+    if now <= 0 or now > most:
+        spark.conf.set(key, str(most))
+
+
 def stage_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 

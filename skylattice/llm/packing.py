@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import global_rank, stage
+from .common import global_rank, stage, text_batches
 
 
 def cut_pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document: its ids, then end_id, cut into pieces."""
     import pandas as pd
 
+    text_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
     names = [x.split(" ")[0] for x in schema.split(", ")]

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stage
+from .common import components, stage, text_batches
 from .shingles import distinct_documents  # noqa: F401  the pipeline's stage, by exact similarity
 
 BUCKET = 64
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     """(id, fp): a map over the scan. Null and empty texts get fingerprint 0."""
     import pandas as pd
 
+    text_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stage
+from .common import fresh, stage, text_batches
 
 WORD, BREAK = re.compile(r"[^\W_]+"), re.compile(r"[\W_]")
 WINDOW, STRIDE, HIDDEN, WORD_DIM, CHAR_DIM, TRIGRAMS, ATTEND = 24, 12, 8, 8, 8, 4096, 8
@@ -387,6 +387,8 @@ def score(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: st
     if keep and out.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"docs already has a column {out}")
 
+    text_batches(docs.sparkSession)
+
     @F.arrow_udf("double")
     def toxic(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(net)
