@@ -37,7 +37,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SPLIT = regex.compile(PATTERN)
 CUT = re.compile(r" (?=\S)")
 ODD = re.compile(r" (?=\s|\Z)")
-AHEAD, HOLD, MEMO, FITS, BLOCK, ONE = 3, 1 << 16, 200_000, 500_000, 1 << 20, (1,)
+AHEAD, HOLD, MEMO, FITS, BLOCK, ONE = 3, 1 << 16, 100_000, 500_000, 1 << 20, (1,)
 
 
 def byte_letters() -> dict[str, int]:

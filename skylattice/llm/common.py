@@ -30,6 +30,31 @@ def text_batches(spark: SparkSession, most: int = 4 << 20) -> None:
         spark.conf.set(key, str(most))
 
 
+def give_back() -> None:
+    """Returns what a Python worker has freed to the system: workers are reused, and would else keep the most that any task held."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library has no such call
+        pass
+
+
+def thrifty(batches, work):
+    """work(batch) for each batch, without holding on to a batch while the next one is fetched; memory is given back at the end."""
+    try:
+        for batch in batches:
+            out = work(batch)
+            del batch
+            yield from out
+            del out
+    finally:
+        give_back()
+
+
 def stage_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 

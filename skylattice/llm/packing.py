@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import global_rank, stage, text_batches
+from .common import global_rank, stage, text_batches, thrifty
 
 
 def cut_pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -37,7 +37,8 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2
 
     def run(batches):
         enc, tail = bpe.encoder(path, True), np.array([end_id], "<u4").tobytes()
-        for pdf in batches:
+
+        def work(pdf):
             rows = []
             for doc, text in zip(pdf["doc_id"].array, pdf["text"]):
                 ids = enc.encode(text) + tail
@@ -50,6 +51,8 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2
                     rows.append((doc, k, start, length, zlib.crc32(part)) + ((part,) if keep_ids else ()))
             yield pd.DataFrame(rows, columns=names)
 
+        return thrifty(batches, work)
+
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, schema)
 
 

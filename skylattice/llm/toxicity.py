@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stage, text_batches
+from .common import fresh, give_back, stage, text_batches, thrifty
 
 WORD, BREAK = re.compile(r"[^\W_]+"), re.compile(r"[\W_]")
 WINDOW, STRIDE, HIDDEN, WORD_DIM, CHAR_DIM, TRIGRAMS, ATTEND = 24, 12, 8, 8, 8, 4096, 8
@@ -392,10 +392,17 @@ def score(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: st
     @F.arrow_udf("double")
     def toxic(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(net)
-        for texts in batches:
+
+        def work(texts):
             # few texts at a time are Python strings
             found = [scorer.scores(texts.slice(at, 256).to_pylist()) for at in range(0, len(texts), 256)]
-            yield pa.array(np.concatenate(found or [np.empty(0)]).astype(np.float64))
+            return [pa.array(np.concatenate(found or [np.empty(0)]).astype(np.float64))]
+
+        try:
+            yield from thrifty(batches, work)
+        finally:
+            scorer.clear()
+            give_back()
 
     value = F.lit(0.0) if net is None else toxic(docs[text_col])
     return docs.select(*(docs[c] for c in (docs.columns if keep else [id_col])), value.alias(out))
