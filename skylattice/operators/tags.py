@@ -58,6 +58,11 @@ def survives(tags: Column, node: bool = False) -> Column:
     return F.coalesce(F.exists(F.map_entries(tags), worth), F.lit(False))
 
 
+def name(tags: Column) -> Column:
+    """The name tag, cut like any tag; null where there is none."""
+    return clean(F.try_element_at(tags, F.lit("name")))
+
+
 def tag_rows(entities: DataFrame, node: bool = False) -> DataFrame:
     """(id, key_name, key_value) of the tags that are stored once an entity survives; any building value is stored then."""
     rows = entities.where(survives(F.col("tags"), node)).select("id", "tags", F.explode("tags").alias("k", "v"))
@@ -68,8 +73,10 @@ def tag_rows(entities: DataFrame, node: bool = False) -> DataFrame:
 
 
 def gather(rows: DataFrame) -> DataFrame:
-    """(id, tags) from rows (id, k, v); of a repeated key the greatest value stays, so that the result doesn't depend on order."""
-    return rows.groupBy("id", "k").agg(F.max("v").alias("v")).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("tags"))
+    """(id, tags) from rows (id, k, v[, at]); of a repeated key the last value by `at` stays, or, where rows have no order, the greatest,
+    so that the result doesn't depend on how they lie."""
+    last = F.max_by("v", "at") if "at" in rows.columns else F.max("v")
+    return rows.groupBy("id", "k").agg(last.alias("v")).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("tags"))
 
 
 def is_area(closed: Column, tags: Column) -> Column:

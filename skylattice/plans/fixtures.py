@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import base64
 import re
+import tempfile
+import uuid
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,3 +69,87 @@ def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def with_views(*names: str) -> str:
     """`with fx_… as (…)` for the oracle engine."""
     return "with " + ", ".join(f"{n} as ({re.sub(r'{(\w+)}', r'\1', VIEWS[n])})" for n in names)
+
+
+def folder(spark: SparkSession) -> str:
+    """A new folder for files that a query writes and reads back: in the shared checkpoint folder, or a local one where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = tempfile.mkdtemp(prefix="skylattice-")
+        spark.sparkContext.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+def write_file(spark: SparkSession, path: str, data: bytes) -> str:
+    """A small file, through the file system that Spark uses."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)
+    out.write(jvm.java.util.Base64.getDecoder().decode(base64.b64encode(data).decode()))
+    out.close()
+    return path
+
+
+def vi(n: int) -> bytes:
+    n &= (1 << 64) - 1
+    out = bytearray()
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    out.append(n)
+    return bytes(out)
+
+
+def field(k: int, v) -> bytes:
+    return vi(k << 3) + vi(v) if isinstance(v, int) else vi(k << 3 | 2) + vi(len(v)) + v
+
+
+def deltas(values) -> bytes:
+    last, out = 0, []
+    for v in values:
+        d, last = v - last, v
+        out.append(vi(d << 1 if d >= 0 else (-d << 1) - 1))
+    return b"".join(out)
+
+
+def extract_block(rows, dense: bool) -> bytes:
+    """A block of (kind, id, tags, lon, lat, refs, members) rows; nodes are dense or plain."""
+    strings: dict[str, int] = {"": 0}
+    number = lambda x: strings.setdefault(x, len(strings))
+    pairs = lambda tags: field(2, b"".join(vi(number(k)) for k, _ in tags)) + field(3, b"".join(vi(number(v)) for _, v in tags)) if tags else b""
+    place = lambda v: round(v * 1e7)
+    nodes, groups = [r for r in rows if r[0] == "node"], []
+    if nodes and dense:
+        kv = b"".join(b"".join(vi(number(k)) + vi(number(v)) for k, v in r[2] or ()) + vi(0) for r in nodes)
+        groups.append(field(2, field(1, deltas(r[1] for r in nodes)) + field(8, deltas(place(r[4]) for r in nodes)) + field(9, deltas(place(r[3]) for r in nodes)) + field(10, kv)))
+    zz = lambda v: v << 1 if v >= 0 else (-v << 1) - 1
+    for kind, i, tags, lon, lat, refs, members in rows:
+        if kind == "node" and not dense:
+            groups.append(field(1, field(1, zz(i)) + pairs(tags) + field(8, zz(place(lat))) + field(9, zz(place(lon)))))
+        elif kind == "way":
+            groups.append(field(3, field(1, i) + pairs(tags) + field(8, deltas(refs))))
+        elif kind == "relation":
+            groups.append(field(4, field(1, i) + pairs(tags) + field(8, b"".join(vi(number(r)) for _, r, _ in members)) + field(9, deltas(m for m, _, _ in members)) + field(10, b"".join(vi(t) for _, _, t in members))))
+    return field(1, b"".join(field(1, s.encode()) for s in strings)) + b"".join(field(2, g) for g in groups)
+
+
+def extract_blob(kind: str, block: bytes, codec: str = "zlib") -> bytes:
+    blob = field(1, block) if codec == "raw" else field(2, len(block)) + field(3, zlib.compress(block))
+    head = field(1, kind.encode()) + field(3, len(blob))
+    return len(head).to_bytes(4, "big") + head + blob
+
+
+def write_extract(spark: SparkSession, path: str, entities: DataFrame, blocks: int = 6) -> str:
+    """An extract of (kind, id, tags: array of pairs, lon, lat, refs, members: array of (id, role, type)) rows, in `blocks` data blobs of mixed codecs."""
+    import pandas as pd
+
+    def encode(batches):
+        rows = [tuple(r) for pdf in batches for r in pdf.itertuples(index=False)]
+        if rows:
+            number = rows[0][0]
+            plain = [(k, int(i), [(x["k"], x["v"]) for x in t] if t is not None else [], lon, lat, None if refs is None else [int(x) for x in refs], None if m is None else [(int(x["id"]), x["role"], int(x["type"])) for x in m]) for _, k, i, t, lon, lat, refs, m in rows]
+            yield pd.DataFrame({"n": [number], "blob": [extract_blob("OSMData", extract_block(plain, number % 3 != 0), "raw" if number % 2 else "zlib")]})
+
+    rows = entities.selectExpr(f"cast(pmod(id, {blocks}) as int) as n", "kind", "id", "tags", "lon", "lat", "refs", "members")
+    made = rows.groupBy("n").applyInPandas(lambda pdf: next(encode([pdf.sort_values(["kind", "id"])])), "n int, blob binary").collect()
+    return write_file(spark, path, extract_blob("OSMHeader", b"") + b"".join(bytes(r["blob"]) for r in sorted(made, key=lambda r: r["n"])))

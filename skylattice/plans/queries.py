@@ -548,3 +548,8 @@ def loaded_cells(t):
     wanted = wanted.withColumn("tile", geo.tile_name(F.col("lat"), F.col("lon"), "cell"))
     done = t("nation").select(geo.tile_name((F.col("n_nationkey") % 12 * 10 - 60).cast("int"), (F.col("n_nationkey") * 10 - 120).cast("int"), "cell").alias("tile"))
     return raster.absent(wanted, done).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
+from . import file_queries  # noqa: E402  they use what is above
+
+QUERIES.update(file_queries.QUERIES)

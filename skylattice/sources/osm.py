@@ -1,8 +1,9 @@
 """Map extracts (blocked binary) and change files (XML, plain or gzip) as DataFrames.
 
-Reading goes by Spark's binaryFile for change files, which are small, and by byte ranges for extracts: a first pass lists the
-blobs of a file by their headers, and the blobs, not the files, are the rows that tasks decode. Messages are read with a
-small wire-format reader; blocks with a codec other than raw and zlib give no rows.
+Change files are small and come whole. Extracts are read by byte ranges: the bytes that begin every data blob's header are the record
+separator of Spark's line reader, which splits a file of any size over tasks and finds the next record in each range, in any
+file system; a record is a blob. Messages are read with a small wire-format reader; blocks with a codec other than raw and zlib
+give no rows.
 """
 
 from __future__ import annotations
@@ -133,31 +134,86 @@ def block_entities(block: bytes) -> list[tuple]:
     return out
 
 
+#: How the header of every data blob begins: field 1, seven bytes, its type.
+DATA_HEAD = "\n\u0007OSMData"
+
+
+def data_blob(record: bytes) -> bytes | None:
+    """The blob of a record, which is what follows DATA_HEAD up to the next one; None for what stands before the first.
+
+    The header gives the blob's size, so a separator that a blob holds by chance is an error and not a lost block."""
+    if not record or record[0] == 0:  # the four bytes of a header's length; they are below 2^24
+        return None
+    at, size = 0, None
+    while size is None:
+        key, at = varint(record, at)
+        if key == 2 << 3 | 2:
+            n, at = varint(record, at)
+            at += n
+        elif key == 3 << 3:
+            size, at = varint(record, at)
+        else:
+            raise ValueError("blob header")
+    if len(record) < at + size:
+        raise ValueError("a blob is cut short")
+    return record[at : at + size]
+
+
+def blob_offsets(spark: SparkSession, path: str) -> list[tuple[int, str, int]]:
+    """(offset, type, bytes) of a file's blobs, by seeking from header to header through the file system that Spark uses.
+
+    One seek a blob of up to 32 MB, so tens of thousands for the largest files there are."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    end, at, out = fs.getFileStatus(where).getLen(), 0, []
+    stream = fs.open(where)
+    try:
+        while at + 4 <= end:
+            stream.seek(at)
+            n = int.from_bytes(stream.readNBytes(4), "big")
+            head = dict(fields(bytes(stream.readNBytes(n))))
+            out.append((at, bytes(head[1]).decode(), 4 + n + head[3]))
+            at += 4 + n + head[3]
+    finally:
+        stream.close()
+    return out
+
+
 def read_extract(spark: SparkSession, path: str, start: int = 0) -> DataFrame:
     """ENTITY rows of the extracts under path; `start` resumes a single file at a blob offset.
 
-    Files come as binary rows, are cut to blobs, and blobs are dealt out again before they are decoded, so a file's decoding
-    is spread over tasks.
+    To resume, the blobs from there on are listed, and tasks read their ranges through the file systems that Arrow opens.
     """
     import pandas as pd
 
-    def cut(batches):
-        for pdf in batches:
-            for name, data in zip(pdf["path"], pdf["content"]):
-                for at, kind, blob in blobs(data, start):
-                    if kind == "OSMData":
-                        yield pd.DataFrame({"path": [name], "at": [at], "blob": [blob]})
+    names = [x.split(" ")[0] for x in ("kind s", "id s", "tags s", "lon s", "lat s", "refs s", "members s")]
+
+    def entities(blob: bytes | None):
+        block = None if blob is None else unpack(blob)
+        if block is not None:
+            yield pd.DataFrame(block_entities(block), columns=names)
 
     def decode(batches):
-        names = [x.split(" ")[0] for x in ("kind s", "id s", "tags s", "lon s", "lat s", "refs s", "members s")]
         for pdf in batches:
-            for blob in pdf["blob"]:
-                block = unpack(blob)
-                if block is not None:
-                    yield pd.DataFrame(block_entities(block), columns=names)
+            for record in pdf["record"]:
+                yield from entities(data_blob(bytes(record)))
 
-    pieces = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(cut, "path string, at long, blob binary")
-    return pieces.repartition("path", "at").select("blob").mapInPandas(decode, ENTITY)
+    def ranges(batches):
+        from pyarrow import fs
+
+        for pdf in batches:
+            for name, at, size in zip(pdf["path"], pdf["at"], pdf["size"]):
+                store, inner = fs.FileSystem.from_uri(name)
+                with store.open_input_file(inner) as f:
+                    for _, kind, blob in blobs(f.read_at(size, at)):
+                        if kind == "OSMData":
+                            yield from entities(blob)
+
+    if not start:
+        records = spark.read.option("lineSep", DATA_HEAD).text(path).select(F.col("value").cast("binary").alias("record"))
+        return records.mapInPandas(decode, ENTITY)
+    todo = [(path, at, size) for at, kind, size in blob_offsets(spark, path) if at >= start and kind == "OSMData"]
+    return spark.createDataFrame(todo, "path string, at long, size long").repartition(max(1, len(todo))).mapInPandas(ranges, ENTITY)
 
 
 def changes_of(data: bytes) -> list[tuple]:
