@@ -67,15 +67,26 @@ def edges(ring: Column) -> Column:
     return F.zip_with(F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
 
-def inside(rings: Column, x: Column, y: Column) -> Column:
-    """Strictly inside: an odd number of crossings over all rings (holes count), and on no edge."""
-    every = F.flatten(F.transform(rings, edges))
+def within_edges(every: Column, x: Column, y: Column) -> Column:
+    """Strictly inside by the edges that meet the point's parallel: an odd number of crossings, and on no edge."""
     cross = lambda e: (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) - (e["b"]["y"] - e["a"]["y"]) * (x - e["a"]["x"])
     on = F.exists(every, lambda e: (cross(e) == 0) & x.between(F.least(e["a"]["x"], e["b"]["x"]), F.greatest(e["a"]["x"], e["b"]["x"])) & y.between(F.least(e["a"]["y"], e["b"]["y"]), F.greatest(e["a"]["y"], e["b"]["y"])))
     crossed = F.size(F.filter(every, lambda e: ((e["a"]["y"] > y) != (e["b"]["y"] > y)) & (x < (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / (e["b"]["y"] - e["a"]["y"]) + e["a"]["x"])))
     return ~on & (crossed % 2 == 1)
 
 
+def inside(rings: Column, x: Column, y: Column) -> Column:
+    """Strictly inside: an odd number of crossings over all rings (holes count), and on no edge."""
+    return within_edges(F.flatten(F.transform(rings, edges)), x, y)
+
+
+def segments_meet(px: Column, py: Column, qx: Column, qy: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    """Whether two segments have a point in common, ends and collinear overlaps included."""
+    side = lambda x1, y1, x2, y2, x, y: F.signum((x2 - x1) * (y - y1) - (y2 - y1) * (x - x1))
+    boxes = (F.greatest(px, qx) >= F.least(ax, bx)) & (F.least(px, qx) <= F.greatest(ax, bx)) & (F.greatest(py, qy) >= F.least(ay, by)) & (F.least(py, qy) <= F.greatest(ay, by))
+    return boxes & (side(px, py, qx, qy, ax, ay) * side(px, py, qx, qy, bx, by) <= 0) & (side(ax, ay, bx, by, px, py) * side(ax, ay, bx, by, qx, qy) <= 0)
+
+
 def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     p = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     return F.array(p(x0, y0), p(x1, y0), p(x1, y1), p(x0, y1), p(x0, y0))

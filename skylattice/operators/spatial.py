@@ -77,6 +77,13 @@ def lines_within(points: DataFrame, lines: DataFrame, radius: float, cols: list[
     return left.join(parts, ["__cx", "__cy"]).withColumn("dist", dist).where(F.col("dist") <= radius).groupBy("point_id", *cols).agg(F.min("dist").alias("dist"))
 
 
+def areas_within(points: DataFrame, areas: DataFrame, radius: float, cols: list[str]) -> DataFrame:
+    """(point_id, *cols, dist) for areas (column points: a closed ring) no further than radius; 0 for a point inside."""
+    near = lines_within(points, areas, radius, cols)
+    held = containing(points, areas.select(*cols, F.array("points").alias("rings")), radius * 4, cols).withColumn("dist", F.lit(0.0))
+    return near.unionByName(held).groupBy("point_id", *cols).agg(F.min("dist").alias("dist"))
+
+
 def containing(points: DataFrame, areas: DataFrame, size: float, cols: list[str]) -> DataFrame:
     """(point_id, *cols) for areas (column rings: array<array<struct<x, y>>>, boundary excluded) that hold the point.
 
@@ -102,21 +109,65 @@ def few(regions: DataFrame) -> DataFrame:
     return regions
 
 
+BAND, FEW_EDGES = 0.25, 1_000_000
+
+
+def region_edges(regions: DataFrame) -> DataFrame:
+    """(bit, part, ax, ay, bx, by): the edges of the regions' outlines, in degrees, by ring. A region without rings is its box; where that
+    wraps the antimeridian, it has two parts without an edge along it."""
+    point = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    x0, x1, y0, y1 = (F.col(c) for c in ("min_lon", "max_lon", "min_lat", "max_lat"))
+    half = lambda edge, at: F.array(point(F.lit(at), y0), point(edge, y0), point(edge, y1), point(F.lit(at), y1))
+    box = F.when(x0 <= x1, F.array(F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1), point(x0, y0)))).otherwise(F.array(half(x0, 180.0), half(x1, -180.0)))
+    rings = F.coalesce("rings", box) if "rings" in regions.columns else box
+    rows = few(regions).select("bit", F.posexplode(rings).alias("part", "ring")).select("bit", "part", F.explode(geo.edges(F.col("ring"))).alias("e"))
+    return rows.select("bit", "part", F.col("e.a.x").alias("ax"), F.col("e.a.y").alias("ay"), F.col("e.b.x").alias("bx"), F.col("e.b.y").alias("by"))
+
+
+def banded_edges(regions: DataFrame) -> DataFrame:
+    """(band, bit, edges): the edges that each band of latitude meets. A test along a parallel needs no others."""
+    rows = region_edges(regions)
+    if rows.count() > FEW_EDGES:
+        raise ValueError(f"outlines of more than {FEW_EDGES} edges")  # 32 MB; what allows the broadcast
+    band = F.explode(F.sequence(geo.cell(F.least("ay", "by"), BAND), geo.cell(F.greatest("ay", "by"), BAND))).alias("band")
+    spans = rows.select("bit", "ax", "ay", "bx", "by", band)
+    return spans.groupBy("band", "bit").agg(F.collect_list(F.struct(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")).alias("a"), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")).alias("b"))).alias("edges"))
+
+
 def region_mask(points: DataFrame, regions: DataFrame) -> DataFrame:
     """(id, mask): bit k is set where region k's box (min_lon > max_lon wraps; optional rings decide within it) holds the point.
 
     At most 32 regions fit into a mask, which is what bounds the broadcast; more, or other bits than 0 to 31, are an error.
-    All points are classified in one pass.
+    All points are classified in one pass; a point is tested against the edges of its band of latitude, not against whole outlines.
     """
-    if "rings" not in regions.columns:
-        regions = regions.withColumn("rings", F.lit(None).cast("array<array<struct<x: double, y: double>>>"))
-    boxes = F.broadcast(few(regions).select("bit", "min_lon", "max_lon", "min_lat", "max_lat", "rings"))
+    boxes = F.broadcast(few(regions).select("bit", "min_lon", "max_lon", "min_lat", "max_lat", (F.col("rings").isNotNull() if "rings" in regions.columns else F.lit(False)).alias("shaped")))
     hit = geo.in_range(F.col("lon"), F.col("min_lon"), F.col("max_lon")) & F.col("lat").between(F.col("min_lat"), F.col("max_lat"))
-    exact = F.when(F.col("rings").isNull(), F.lit(True)).otherwise(geo.inside(F.col("rings"), F.col("lon"), F.col("lat")))
-    met = points.select("id", "lon", "lat").join(boxes, hit & exact)
+    met = points.select("id", "lon", "lat").join(boxes, hit)
+    if "rings" in regions.columns:
+        bands = F.broadcast(banded_edges(regions.where("rings is not null")))
+        met = met.withColumn("band", geo.cell(F.col("lat"), BAND)).join(bands, ["band", "bit"], "left")
+        met = met.where(~F.col("shaped") | F.coalesce(geo.within_edges(F.col("edges"), F.col("lon"), F.col("lat")), F.lit(False)))
     return met.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("mask"))
 
 
+def shape_mask(shapes: DataFrame, regions: DataFrame) -> DataFrame:
+    """(id, mask) of the shapes (id, points: array<struct<x, y>> in degrees) that meet a region: a vertex lies in it, an edge meets its
+    outline, or the shape is a ring around it. Edges are joined with outlines by bands of latitude."""
+    vertices = shapes.select("id", F.explode("points").alias("p")).select("id", F.col("p.x").alias("lon"), F.col("p.y").alias("lat"))
+    bit = F.expr("shiftleft(1L, cast(bit as int))")
+    parts = shapes.select("id", F.explode(geo.edges(F.col("points"))).alias("e")).select("id", F.col("e.a.x").alias("px"), F.col("e.a.y").alias("py"), F.col("e.b.x").alias("qx"), F.col("e.b.y").alias("qy"))
+    parts = parts.select("*", F.explode(F.sequence(geo.cell(F.least("py", "qy"), BAND), geo.cell(F.greatest("py", "qy"), BAND))).alias("band"))
+    outline = F.broadcast(banded_edges(regions))
+    touch = lambda e: geo.segments_meet(F.col("px"), F.col("py"), F.col("qx"), F.col("qy"), e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"])
+    crossed = parts.join(outline, "band").where(F.exists("edges", touch)).groupBy("id").agg(F.bit_or(bit).alias("mask"))
+    # a ring around a part of a region holds every point of its outline: one of each is enough where no edges meet
+    spots = F.broadcast(region_edges(regions).groupBy("bit", "part").agg(F.min(F.struct("ax", "ay")).alias("p")))
+    rings = shapes.where(geo.is_closed(F.col("points"))).select("id", "points", F.array_min(F.transform("points", lambda p: p["x"])).alias("x0"), F.array_max(F.transform("points", lambda p: p["x"])).alias("x1"), F.array_min(F.transform("points", lambda p: p["y"])).alias("y0"), F.array_max(F.transform("points", lambda p: p["y"])).alias("y1"))
+    around = rings.join(spots, F.col("p.ax").between(F.col("x0"), F.col("x1")) & F.col("p.ay").between(F.col("y0"), F.col("y1"))).where(geo.inside(F.array("points"), F.col("p.ax"), F.col("p.ay")))
+    every = region_mask(vertices, regions).unionByName(crossed).unionByName(around.groupBy("id").agg(F.bit_or(bit).alias("mask")))
+    return every.groupBy("id").agg(F.bit_or("mask").alias("mask"))
+
+
 def expand_mask(masked: DataFrame, regions: DataFrame) -> DataFrame:
     """One row per set bit: masked's columns and the region's name."""
     bits = masked.select("*", F.explode(F.expr("filter(sequence(0, 31), b -> shiftright(mask, b) & 1 = 1)")).alias("bit"))
@@ -139,10 +190,15 @@ def raster_values(points: DataFrame, tiles: DataFrame, size: float, cols: tuple[
     return met.groupBy("point_id").agg(F.min_by("value", "tile_id").alias("value"))
 
 
-def exact_matches(nodes: DataFrame, vertices: DataFrame) -> DataFrame:
-    """(id, mask): nodes at exactly the place of extra vertices (x, y, mask), with the regions that want those vertices.
+def exact_matches(nodes: DataFrame, vertices: DataFrame, own: DataFrame | None = None) -> DataFrame:
+    """(id, mask): nodes at exactly the place of extra vertices (x, y, mask), with the regions that want those vertices; without those
+    that hold the node already (own: id, mask), if that is given.
 
     Vertices are merged per place before the join; both sides come from one projection, so equality of doubles is exact.
     """
     wanted = vertices.groupBy("x", "y").agg(F.bit_or("mask").alias("mask"))
-    return nodes.select("id", "x", "y").join(wanted, ["x", "y"]).select("id", "mask")
+    met = nodes.select("id", "x", "y").join(wanted, ["x", "y"]).select("id", "mask")
+    if own is None:
+        return met
+    held = F.coalesce(F.col("held"), F.lit(0).cast("long"))
+    return met.join(own.select("id", F.col("mask").alias("held")), "id", "left").select("id", F.col("mask").bitwiseAND(F.bitwise_not(held)).alias("mask")).where("mask <> 0")

@@ -492,3 +492,131 @@ def last_tag_wins(spark, t):
     first = t("fx_way_tags").select("id", "k", F.concat(L("zzz"), "v").alias("v"), L(1).alias("at"))
     second = t("fx_way_tags").select("id", "k", F.concat("v", L("#2")).alias("v"), L(2).alias("at"))
     return tags.gather(first.unionByName(second)).select("id", F.explode("tags").alias("k", "v"))
+
+
+# a change feed, followed as a stream from its files
+
+FEED = """ev as (select cast(event_id // {size} as bigint) seq, event_id % {size} as ord, event_id, user_id as id, case event_type when 'error' then 'delete' when 'signup' then 'create' else 'modify' end op, value from events),
+    ln as (select * from (select *, row_number() over (partition by id order by event_id desc) r from ev) where r = 1),
+    co as (select id, cast(event_id % 3000 as double) / 20 - 75 lon, cast(event_id % 1700 as double) / 10 - 85 lat from ln where op <> 'delete')"""
+
+
+def change_files(spark, t) -> str:
+    """Change files of the events, eight in all: a node an event, a way over it and the two ids after it by every third event, and a
+    multipolygon over two such ways by every fifth. The second file has no changes of its own, and files lie in folders by sequence."""
+    root, rows = folder(spark), t("events")
+    size = max(1, -(-rows.count() // 8))
+    k, name = F.col("event_id"), F.when(F.col("event_type") == "error", "delete").when(F.col("event_type") == "signup", "create").otherwise("modify")
+    say = lambda *parts: F.concat(*(p if not isinstance(p, str) else L(p) for p in parts))
+    i = lambda c: c.cast("string")
+    node = say('<node id="', i(F.col("user_id")), '" lon="', i((k % 3000).cast("double") / 20 - 75), '" lat="', i((k % 1700).cast("double") / 10 - 85), '"><tag k="name" v="n', i(k), ' &amp; co"/></node>')
+    u = F.col("user_id")
+    way = F.when(k % 3 == 0, say('<way id="', i(u), '"><nd ref="', i(u), '"/><nd ref="', i(u + 1), '"/><nd ref="0"/><nd ref="', i(u + 2), '"/><tag k="highway" v="w', i(k), '"/></way>')).otherwise("")
+    rel = F.when(k % 5 == 0, say('<relation id="', i(u), '"><member type="way" ref="', i(u), '" role="outer"/><member type="node" ref="', i(u), '" role=""/><tag k="type" v="', F.when(k % 2 == 0, "multipolygon").otherwise("route"), '"/><tag k="boundary" v="b"/></relation>')).otherwise("")
+    body = say("<", name, ">", node, way, rel, "</", name, ">")
+    files = rows.select(F.floor(k / size).alias("seq"), k, body.alias("b")).groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("event_id", "b"))).alias("c")).select("seq", F.array_join(F.transform("c", lambda x: x["b"]), "\n").alias("b"))
+    import gzip
+
+    for r in files.collect():
+        data = f"<osmChange>{r['b']}</osmChange>".encode()
+        write_file(spark, f"{root}/000/000/{r['seq'] + 1:03d}.osc" + (".gz" if r["seq"] % 2 else ""), gzip.compress(data) if r["seq"] % 2 else data)
+    write_file(spark, f"{root}/000/000/000.osc", b"<osmChange/>")
+    return root
+
+
+_followed: dict[tuple[str, str], str] = {}
+
+
+def followed(spark, t):
+    """The replica that a feed left, once a session and folder."""
+    from ..streaming.replication import Replica
+
+    at = (spark.sparkContext.applicationId, t("part").inputFiles()[0])
+    if at not in _followed:
+        root = folder(spark)
+        Replica(spark, f"{root}/db").follow(change_files(spark, t), f"{root}/checkpoint").awaitTermination()
+        _followed[at] = f"{root}/db"
+    return Replica(spark, _followed[at])
+
+
+@query(f"with {FEED.format(size=1)} select id, round(lon, 7) lon, round(lat, 7) lat from co")
+def feed_coords(spark, t):
+    return followed(spark, t).tables()["coords"].select("id", F.round("lon", 7).alias("lon"), F.round("lat", 7).alias("lat"))
+
+
+@query(f"with {FEED.format(size=1)} select id, 'n' || event_id || ' & co' as name from ln where op <> 'delete'")
+def feed_nodes(spark, t):
+    return followed(spark, t).tables()["nodes"].select("id", F.element_at("tags", "name").alias("name"))
+
+
+LAST_WAY = """lw as (select * from (select *, row_number() over (partition by id order by event_id desc) r from ev where event_id % 3 = 0) where r = 1),
+    wp as (select lw.id, lw.event_id, o.k, co.lon, co.lat from lw cross join (select 0 k union all select 1 union all select 2) o join co on co.id = lw.id + o.k where lw.op <> 'delete' and lw.id + o.k <> 0),
+    ww as (select id, event_id, count(*) n, round(arg_min(lon, k), 6) lon from wp group by id, event_id having count(*) >= 2)"""
+
+
+@query(f"with {FEED.format(size=1)}, {LAST_WAY} select id, 'w' || event_id as highway, cast(n as int) n, lon from ww")
+def feed_ways(spark, t):
+    """One batch: geometry from the last coordinates. A way that has been deleted or has no two nodes isn't there."""
+    rows = followed(spark, t).tables()["ways"]
+    return rows.select("id", F.element_at("tags", "highway").alias("highway"), F.size("points").alias("n"), F.round(geo.inverse_x(F.element_at("points", 1)["x"]), 6).alias("lon"))
+
+
+@query(f"""with {FEED.format(size=1)}, {LAST_WAY}, lr as (select * from (select *, row_number() over (partition by id order by event_id desc) r from ev where event_id % 5 = 0) where r = 1)
+    select case when lr.event_id % 2 = 0 then 'areas' else 'relations' end as table, count(*) n, sum(lr.id * (case when lr.event_id % 2 = 0 then -1 else 1 end)) ids
+    from lr left join ww on ww.id = lr.id where lr.op <> 'delete' and (lr.event_id % 2 = 1 or ww.n = 3) group by 1""")
+def feed_relations(spark, t):
+    """Multipolygons are areas under the negative id where their ring has three places at least; other relations keep their row."""
+    got = followed(spark, t).tables()
+    both = got["areas"].where("id < 0").select(L("areas").alias("table"), "id").unionByName(got["relations"].select(L("relations").alias("table"), "id"))
+    return both.groupBy("table").agg(F.count(F.lit(1)).alias("n"), F.sum("id").cast("decimal(38,0)").cast("long").alias("ids"))
+
+
+# regions: shapes that meet them
+
+SHAPES = """sh as (select id, lon px, lat py, lon + 31 - id % 7 qx, lat + 17 - id % 5 qy from fx_airports),
+    bx as (select bit, name, min_lon a, max_lon b, min_lat c, max_lat d from fx_regions where min_lon <= max_lon union all select bit, name, min_lon, 180, min_lat, max_lat from fx_regions where min_lon > max_lon
+        union all select bit, name, -180, max_lon, min_lat, max_lat from fx_regions where min_lon > max_lon)"""
+CLIP = "greatest(0.0, least((a-px)/(qx-px), (b-px)/(qx-px)), least((c-py)/(qy-py), (d-py)/(qy-py))) <= least(1.0, greatest((a-px)/(qx-px), (b-px)/(qx-px)), greatest((c-py)/(qy-py), (d-py)/(qy-py)))"
+
+
+def long_lines(t) -> DataFrame:
+    p, q = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y")), F.struct((F.col("lon") + 31 - F.col("id") % 7).alias("x"), (F.col("lat") + 17 - F.col("id") % 5).alias("y"))
+    return t("fx_airports").select("id", F.array(p, q).alias("points"))
+
+
+@query(f"{w('fx_airports', 'fx_regions')}, {SHAPES} select id, cast(bit_or(cast(1 as bigint) << bit) as bigint) mask from sh join bx on {CLIP} group by id")
+def line_region_mask(spark, t):
+    """Lines of two points, most of which cross regions without a vertex in them."""
+    return regional.classify_shapes(long_lines(t), t("fx_regions"))
+
+
+@query(f"""{w('fx_airspace', 'fx_regions')}, bx as (select bit, min_lon a, max_lon b, min_lat c, max_lat d from fx_regions where min_lon <= max_lon union all select bit, min_lon, 180, min_lat, max_lat from fx_regions where min_lon > max_lon
+        union all select bit, -180, max_lon, min_lat, max_lat from fx_regions where min_lon > max_lon),
+    s as (select id, min_lon - 90 x0, max_lon + 90 x1, min_lat - 90 y0, max_lat + 90 y1 from fx_airspace)
+    select id, cast(bit_or(cast(1 as bigint) << bit) as bigint) mask from s join bx on x0 <= b and x1 >= a and y0 <= d and y1 >= c group by id""")
+def ring_region_mask(spark, t):
+    """Rings of a quarter of the world and more: they cross regions, lie in them, or go around them."""
+    x0, x1, y0, y1 = F.col("min_lon") - 90, F.col("max_lon") + 90, F.col("min_lat") - 90, F.col("max_lat") + 90
+    return regional.classify_shapes(t("fx_airspace").select("id", geo.box_ring(x0, y0, x1, y1).alias("points")), t("fx_regions"))
+
+
+@query(f"""{w('fx_nodes', 'fx_airspace')}, {N}, b as (select id, radians(min_lon)*6378137.0 x0, radians(max_lon)*6378137.0 x1, ln(tan(pi()/4+radians(greatest(-85.0,min_lat))/2))*6378137.0 y0, ln(tan(pi()/4+radians(least(85.0,max_lat))/2))*6378137.0 y1 from fx_airspace),
+    d as (select n.id point_id, b.id, sqrt(pow(greatest(x0-x, 0.0, x-x1), 2) + pow(greatest(y0-y, 0.0, y-y1), 2)) dist from n cross join b) select point_id, id, round(dist, 3) dist_m from d where dist <= 200000""")
+def areas_nearby(spark, t):
+    """Areas near points; a point inside has distance 0."""
+    from .queries import airspace, nodes
+
+    areas = airspace(t).select("id", F.col("rings")[0].alias("points"))
+    return spatial.areas_within(nodes(t), areas, 200_000.0, ["id"]).select("point_id", "id", F.round("dist", 3).alias("dist_m"))
+
+
+@query(f"""{w('fx_nodes', 'fx_regions')}, v as (select lon, lat, cast(bit_or(case when id % 2 = 0 then 3 else 12 end) as bigint) mask from fx_nodes where id % 3 <> 0 group by lon, lat),
+    m as (select n.id, cast(bit_or(cast(1 as bigint) << r.bit) as bigint) mask from fx_nodes n join fx_regions r on {IN.format('n.')} group by n.id)
+    select n.id, v.mask & ~coalesce(m.mask, 0) mask from fx_nodes n join v on v.lon = n.lon and v.lat = n.lat left join m on m.id = n.id where v.mask & ~coalesce(m.mask, 0) <> 0""")
+def extra_nodes(spark, t):
+    """Nodes at the places of wanted vertices, without the regions that hold them already."""
+    from .queries import nodes
+
+    n = nodes(t)
+    wanted = n.where("id % 3 <> 0").select("x", "y", F.when(F.col("id") % 2 == 0, 3).otherwise(12).cast("long").alias("mask"))
+    return spatial.exact_matches(n, wanted, spatial.region_mask(t("fx_nodes"), t("fx_regions")))

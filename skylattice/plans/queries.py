@@ -551,5 +551,7 @@ def loaded_cells(t):
 
 
 from . import file_queries  # noqa: E402  they use what is above
+from .oracles import ORACLES  # noqa: E402
 
 QUERIES.update(file_queries.QUERIES)
+ORACLES.update(file_queries.ORACLES)

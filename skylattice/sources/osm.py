@@ -252,6 +252,11 @@ def changes_of(data: bytes) -> list[tuple]:
     return rows
 
 
+def sequence(path):
+    """The sequence that a change file's last three path parts spell, null for other paths."""
+    return F.regexp_replace(F.regexp_extract(path, r"(\d{3}/\d{3}/\d{3})\.osc(\.gz)?$", 1), "/", "").try_cast("long")
+
+
 def changes(files: DataFrame) -> DataFrame:
     """(path, seq, CHANGE) of binaryFile rows; seq is the number that the three last path parts spell. Works on streams."""
     import pandas as pd
@@ -263,5 +268,4 @@ def changes(files: DataFrame) -> DataFrame:
             for path, data in zip(pdf["path"], pdf["content"]):
                 yield pd.DataFrame([(path, *r) for r in changes_of(data)], columns=names)
 
-    seq = F.regexp_replace(F.regexp_extract("path", r"(\d{3}/\d{3}/\d{3})\.osc(\.gz)?$", 1), "/", "").try_cast("long")
-    return files.select("path", "content").mapInPandas(run, "path string, " + CHANGE).withColumn("seq", seq)
+    return files.select("path", "content").mapInPandas(run, "path string, " + CHANGE).withColumn("seq", sequence(F.col("path")))
