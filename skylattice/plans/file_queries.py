@@ -8,8 +8,10 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import geo, text, wkb
 from ..operators import quality, raster, regional, sinks, spatial, tags, ways
+from ..programs import bundles, checks
 from ..programs.importer import Import
 from ..sources import loaders, osm, terrain
 from . import public
@@ -620,3 +622,107 @@ def extra_nodes(spark, t):
     n = nodes(t)
     wanted = n.where("id % 3 <> 0").select("x", "y", F.when(F.col("id") % 2 == 0, 3).otherwise(12).cast("long").alias("mask"))
     return spatial.exact_matches(n, wanted, spatial.region_mask(t("fx_nodes"), t("fx_regions")))
+
+
+# bundles: the imported database cut into regions, and two of them installed elsewhere
+
+_bundled: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+
+
+def bundled(spark, t) -> tuple[str, DataFrame]:
+    """The folder of the exported bundles and the counts that the export returned, once a session and folder."""
+    at = (spark.sparkContext.applicationId, t("part").inputFiles()[0])
+    if at not in _bundled:
+        one, root = imported(spark, t), f"{folder(spark)}/bundles"
+        names = ["coords", "nodes", "node_tags", "ways", "way_tags", "areas", "area_tags", "relations", "relation_tags"]
+        counts = bundles.export({n: one.table(n) for n in names}, t("fx_regions"), root, 1700000000, per_batch=3)
+        _bundled[at] = root, counts
+    return _bundled[at]
+
+
+BOX = """bx as (select bit, name, min_lon a, max_lon b, min_lat c, max_lat d from fx_regions where min_lon <= max_lon union all select bit, name, min_lon, 180, min_lat, max_lat from fx_regions where min_lon > max_lon
+    union all select bit, name, -180, max_lon, min_lat, max_lat from fx_regions where min_lon > max_lon)"""
+KEPT_NODES = f"kn as (select t.id from t join s using (id) where keep and t.id % 10 <> 0 group by t.id)"  # noqa: F541
+
+
+@query(f"""{w('fx_nodes', 'fx_node_tags', 'fx_regions')}, {TAGS}, {KEPT_NODES}, {BOX}, q as (select bx.name region, n.id from fx_nodes n join kn using (id) join bx on n.lon between a and b and n.lat between c and d)
+    select region, 'nodes' as table, count(*) n from q group by region
+    union all select region, 'node_tags', count(*) from q join t using (id) where not {EXCL} and not (k = 'highway' and v = 'stop') and (not (k = 'natural' and v = 'tree') or high) and v <> '' group by region""")
+def bundle_rows(spark, t):
+    """Rows of the bundles' node tables, counted from their files; the manifests must say the same."""
+    root, counts = bundled(spark, t)
+    out = None
+    for r in t("fx_regions").collect():
+        said = loaders.manifest(spark, f"{root}/{r['name']}/manifest").where("key like 'table.%.rows'").select(F.split("key", "[.]")[1].alias("table"), F.col("value").cast("long").alias("n"))
+        part = said.where("table in ('nodes', 'node_tags') and n > 0").join(counts.where(F.col("region") == r["name"]).select("table", "n"), ["table", "n"], "left_semi").select(L(r["name"]).alias("region"), "table", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(f"""{w(*GEO, 'fx_regions')}, {N}, {C}, {CLOSED}, {MADE}, {STORED}, v as (select id, is_area, unnest(p) q from st)
+    select case when is_area then 'areas' else 'ways' end as table, r.name region, count(distinct v.id) n from v join c on c.x = v.q.x and c.y = v.q.y join fx_regions r on {IN.format('c.')} group by 1, 2""")
+def bundle_shapes(spark, t):
+    """Ways and areas of the bundles that have a vertex in the region; those that only cross it are in the bundles too and don't count here."""
+    root, _ = bundled(spark, t)
+    out = None
+    for r in t("fx_regions").collect():
+        for name in ("ways", "areas"):
+            rows = schemas.read(spark, f"{root}/{r['name']}", name).select("id", F.explode("points").alias("p")).select("id", F.round(geo.inverse_x(F.col("p.x")), 9).alias("lon"), F.round(geo.inverse_y(F.col("p.y")), 9).alias("lat"))
+            inside = geo.in_range(F.col("lon"), L(r["min_lon"]), L(r["max_lon"])) & F.col("lat").between(r["min_lat"], r["max_lat"])
+            part = rows.where(inside).agg(F.count_distinct("id").alias("n")).select(L(name).alias("table"), L(r["name"]).alias("region"), "n").where("n > 0")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(f"""{w('fx_nodes', 'fx_node_tags', 'fx_regions')}, {TAGS}, {KEPT_NODES}, {BOX}, q as (select distinct n.id from fx_nodes n join kn using (id) join bx on bx.bit in (1, 2) and n.lon between a and b and n.lat between c and d)
+    select 'nodes' as table, count(*) n, count(distinct id) ids from q union all
+    select 'node_tags', count(*), count(distinct t.id) from q join t using (id) where not {EXCL} and not (k = 'highway' and v = 'stop') and (not (k = 'natural' and v = 'tree') or high) and v <> ''
+    union all select 'installed_regions', 2, 2""")
+def installed_rows(spark, t):
+    """Two bundles that overlap, the first one twice, into an empty database: nothing is there twice."""
+    root, _ = bundled(spark, t)
+    db, names = folder(spark), [r["name"] for r in t("fx_regions").where("bit in (1, 2)").orderBy("bit").collect()]
+    for name in [*names, names[0]]:
+        bundles.install(spark, f"{root}/{name}", db, "2024-06-01 00:00:00")
+    parts = [schemas.read(spark, db, n).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("ids")).select(L(n).alias("table"), "n", "ids") for n, key in (("nodes", "id"), ("node_tags", "id"), ("installed_regions", "name"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(f"""{w('fx_nodes', 'fx_node_tags')} select 'node_tags' as table, count(*) n from fx_node_tags where id % 10 = 0 union all select 'way_tags', count(*) from (select 1 from orders where o_orderkey % 4 = 0 and o_orderkey % 3 <> 0)""")
+def orphan_pairs(spark, t):
+    way_tags = t("fx_way_tags").where("k = 'name'").select("id")
+    tables = {"node_tags": t("fx_node_tags"), "nodes": t("fx_nodes").where("id % 10 <> 0"), "way_tags": way_tags, "ways": t("orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"))}
+    return checks.orphan_counts(tables, {"node_tags": "nodes", "way_tags": "ways"})
+
+
+@query("select count(*) n from nation where n_nationkey % 2 = 1")
+def multipart_area_count(spark, t):
+    one = F.array(F.array(F.array(F.struct(L(0.0).alias("x"), L(0.0).alias("y")))))
+    rows = t("nation").select((F.when(F.col("n_nationkey") % 5 == 4, 1).otherwise(-1) * 0 - F.col("n_nationkey") - 1).alias("id"), F.when(F.col("n_nationkey") % 2 == 1, F.concat(one, one)).otherwise(one).alias("polygons"))
+    return checks.multipart_areas(rows)
+
+
+@query("select cast(least(5, count(*)) as bigint) n, cast(0 as bigint) wrong from supplier where s_suppkey % 2 = 0 and s_suppkey % 3 = 0 and s_suppkey < 1000")
+def minor_airport_sample(spark, t):
+    k = F.col("s_suppkey")
+    rows = t("supplier").select(F.when(k % 2 == 0, "small_airport").otherwise("heliport").alias("type"), L("US").alias("country"), F.when((k % 3 == 0) & (k < 1000), F.concat(L("K"), F.lpad(k.cast("string"), 3, "0"))).otherwise(F.concat(L("k"), k.cast("string"))).alias("ident"), k.alias("k"))
+    got = checks.minor_airports(rows, 5, 3)
+    return got.agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("k") % 2 != 0) | (F.col("k") % 3 != 0)).alias("wrong"))
+
+
+@query("""select 'structure' as kind, true as pass, cast(5 as bigint) n union all select 'structure', false, 6 union all select 'fact', true, 1 union all select 'fact', false, 1""")
+def check_results(spark, t):
+    """The checks of the imported database: no orphans, far too few rows, one fact that holds and one that doesn't."""
+    facts = spark.createDataFrame([("a", 10.0, 1.0, None), ("b", 10.0, 1.0, None)], "key string, expected double, tolerance double, ident string")
+    measured = spark.createDataFrame([("a", 10.5, None), ("b", 12.0, None)], "key string, value double, ident string")
+    found = checks.Checks(spark, imported(spark, t).root, facts, measured).results()
+    return found.groupBy("kind", "pass").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""{w('fx_regions')} select 'missing' as what, cast({len(schemas.TABLES)} as bigint) n union all select 'again', 0 union all select 'columns', {sum(1 for _ in schemas.TABLES)}""")
+def schema_tables(spark, t):
+    """Tables that are created in an empty folder, then nothing more; each reads by its schema."""
+    root = folder(spark)
+    first, second = schemas.ensure(spark, root), schemas.ensure(spark, root)
+    good = [n for n in schemas.TABLES if schemas.conform(schemas.read(spark, root, n), n).schema.names == schemas.struct(spark, n).names]
+    return spark.createDataFrame([("missing", len(first)), ("again", len(second)), ("columns", len(good))], "what string, n long")
