@@ -37,7 +37,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SPLIT = regex.compile(PATTERN)
 CUT = re.compile(r" (?=\S)")
 ODD = re.compile(r" (?=\s|\Z)")
-AHEAD, HOLD, MEMO, FITS, BLOCK, ONE = 3, 1 << 16, 100_000, 500_000, 1 << 20, (1,)
+AHEAD, HOLD, MEMO, FITS, BLOCK, ONE = 3, 1 << 16, 400_000, 500_000, 1 << 20, (1,)
 
 
 def byte_letters() -> dict[str, int]:
@@ -254,11 +254,10 @@ def cut(text: str) -> list[str]:
 class Encoder:
     """Texts to ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, merges: Vocabulary, part=None):
+    def __init__(self, merges: Vocabulary):
         self.merges, self.memo, self.words = merges, {}, {}
-        self.part = part or self.transduce
 
-    def transduce(self, part: str) -> bytes:
+    def part(self, part: str) -> bytes:
         out = []
         for word in SPLIT.findall(part):
             ids = self.words.get(word)
@@ -331,16 +330,21 @@ def merges(path: str) -> Merges:
 @lru_cache(4)
 def encoder(path: str, native: bool = False) -> Encoder:
     """One per worker process, so that its memo outlives a task."""
-    return native_encoder(path) if native else Encoder(merges(path))
+    return NativeEncoder(path) if native else Encoder(merges(path))
 
 
-def native_encoder(path: str) -> Encoder:
-    """An encoder whose parts are encoded by a compiled library over the same vocabulary, for operators that only need the ids."""
-    import tiktoken
+class NativeEncoder(Encoder):
+    """A compiled encoder over the same vocabulary, for operators that only need the ids. It takes whole blocks and keeps no memo."""
 
-    held = Vocabulary(read_file(path))
-    enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=held.ids, special_tokens={})
-    return Encoder(held, lambda part: np.array(enc.encode_ordinary(part), dtype="<u4").tobytes())
+    def __init__(self, path: str):
+        import tiktoken
+
+        super().__init__(Vocabulary(read_file(path)))
+        self.compiled = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=self.merges.ids, special_tokens={})
+
+    def plain(self, text: str) -> Iterator[bytes]:
+        for block in [text] if len(text) <= BLOCK else map("".join, pieces(text)):
+            yield np.array(self.compiled.encode_ordinary(block), dtype="<u4").tobytes()
 
 
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:

@@ -77,6 +77,13 @@ def test_bpe_blocks_and_transducer():
         assert "".join(dec.feed(whole[k : k + 4]) for k in range(0, len(whole), 4)) + dec.feed(b"", True) == t
 
 
+def test_native_encoder_equals_transducer():
+    """The compiled encoder, in blocks of any size, and the transducer."""
+    own, native = bpe.encoder(tokenizer_path()), bpe.encoder(tokenizer_path(), True)
+    for t in [t or "" for t in TEXTS if len(t or "") < 10_000] + ["x" * 70_000 + " y", "<|endoftext" * 3]:
+        assert own.encode(t) == native.encode(t) == b"".join(b"".join(native.plain("".join(p))) for p in bpe.pieces(t, 40)) if END not in t else own.encode(t) == native.encode(t)
+
+
 def brute_pieces(tokenizer, texts):
     out = []
     for i, t in enumerate(texts):
