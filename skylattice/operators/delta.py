@@ -69,3 +69,13 @@ def store_update(store: DataFrame, moved: DataFrame, removed: DataFrame, ceiling
     """A coordinate store after node changes; ids beyond the ceiling are refused."""
     kept = store.join(removed.select("id"), "id", "left_anti")
     return merge_stores(moved.where(F.col("id").between(0, ceiling)), kept)
+
+
+def id_range(store: DataFrame) -> DataFrame:
+    """(highest, lowest, n) of the populated ids."""
+    return store.agg(F.max("id").alias("highest"), F.min("id").alias("lowest"), F.count(F.lit(1)).alias("n"))
+
+
+def id_window(store: DataFrame, lo: int, hi: int) -> DataFrame:
+    """The rows of ids from lo to hi; the range reaches the scan, and files in id order are skipped by it."""
+    return store.where(F.col("id").between(lo, hi))

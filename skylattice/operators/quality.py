@@ -50,6 +50,18 @@ def angle_stats(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.agg(F.round(F.avg(d), 6).alias("mean"), F.round(F.max(d), 6).alias("most"), F.count(F.lit(1)).alias("n"))
 
 
+def timing(samples: DataFrame, category: str, ms: str) -> DataFrame:
+    """(category, n, avg_ms, total_s), the costliest first: a slow kind of query stands out. One row a category."""
+    rows = samples.groupBy(category).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(ms), 6).alias("avg_ms"), F.round(F.sum(ms) / 1000, 6).alias("total_s"))
+    return rows.orderBy(F.desc("total_s"), category)
+
+
+def model_difference(pairs: DataFrame, a: str, b: str, limit: float) -> DataFrame:
+    """(mean, most, outliers) of the absolute difference of two models' values."""
+    d = F.abs(F.col(a) - F.col(b))
+    return pairs.agg(F.round(F.avg(d), 6).alias("mean"), F.round(F.max(d), 6).alias("most"), F.count_if(d > limit).alias("outliers"))
+
+
 def region_counts(points: DataFrame) -> DataFrame:
     return points.groupBy(geo.rough_region(F.col("lon"), F.col("lat")).alias("region")).agg(F.count(F.lit(1)).alias("n"))
 

@@ -726,3 +726,18 @@ def schema_tables(spark, t):
     first, second = schemas.ensure(spark, root), schemas.ensure(spark, root)
     good = [n for n in schemas.TABLES if schemas.conform(schemas.read(spark, root, n), n).schema.names == schemas.struct(spark, n).names]
     return spark.createDataFrame([("missing", len(first)), ("again", len(second)), ("columns", len(good))], "what string, n long")
+
+
+@query(f"""{w('fx_nodes', 'fx_obstacles', 'fx_airspace')}, {N}, o as (select *, {X.format('')} x, {Y.format('')} y from fx_obstacles)
+    select 'obstacles' as what, count(*) n, count(distinct n.id) points from n join o on abs(n.x-o.x) <= 100000 and sqrt((n.x-o.x)*(n.x-o.x)+(n.y-o.y)*(n.y-o.y)) <= 100000
+    union all select 'airspace', count(*), count(distinct n.id) from fx_nodes n join fx_airspace a on n.lon > min_lon and n.lon < max_lon and n.lat > greatest(-85.0, min_lat) and n.lat < least(85.0, max_lat)""")
+def points_in_metres(spark, t):
+    """The point functions with points in the projected reference system, served in order."""
+    from .queries import airspace, nodes
+
+    points = nodes(t).select("id", "x", "y")
+    near = public.served(public.obstacles_nearby(points, t("fx_obstacles"), 100_000.0, srid=3857))
+    layers = {"class": airspace(t).withColumn("class", L("C"))}
+    held = public.airspace_at_point(points, layers, srid=3857)
+    count = lambda df, what: df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("point_id").alias("points")).select(L(what).alias("what"), "n", "points")
+    return count(near, "obstacles").unionByName(count(held, "airspace"))

@@ -145,7 +145,7 @@ ORACLES: dict[str, str] = {
     "nodes_near_airports": f"""{w('fx_nodes','fx_airports')}, {N}, {A} select point_id, cast(rn as int) as rank, id, round(d,3) dist_m from
         (select a.id point_id, n.id, {D.format('a')} d, row_number() over (partition by a.id order by {D.format('a')}, n.id) rn from n join a on {D.format('a')} <= 500000) where rn <= 5""",
     "loaded_cells": f"""{w('fx_regions')}, la as (select unnest(range(-60,80,10)) lat), lo as (select unnest(range(-180,180,10)) lon),
-        t as (select r.name, lat, lon from fx_regions r cross join la cross join lo where min_lon<=max_lon and lon>=floor(min_lon/10)*10 and lon<ceil(max_lon/10)*10)
+        t as (select r.name, lat, lon from fx_regions r cross join la cross join lo where case when min_lon<=max_lon then lon>=floor(min_lon/10)*10 and lon<ceil(max_lon/10)*10 else lon>=floor(min_lon/10)*10 or lon<ceil(max_lon/10)*10 end)
         select name, count(*) n from t where not exists (select 1 from nation where n_nationkey%12*10-60=lat and n_nationkey*10-120=lon) group by name""",
     "timing_by_category": "select event_type, count(*) n, round(avg(value),6) avg_ms, round(sum(value)/1000,6) total_s from events group by 1",
     "model_difference": "select round(avg(abs(s_acctbal-s_suppkey*10)),6) mean, round(max(abs(s_acctbal-s_suppkey*10)),6) most, count(*) filter (abs(s_acctbal-s_suppkey*10)>500) outliers from supplier",

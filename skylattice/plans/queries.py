@@ -280,12 +280,12 @@ def store_update(t):
 
 @query
 def highest_populated_id(t):
-    return way_coords(t).agg(F.max("id").alias("highest"), F.min("id").alias("lowest"), F.count(F.lit(1)).alias("n"))
+    return delta.id_range(way_coords(t))
 
 
 @query
 def id_window(t):
-    return t("fx_nodes").where(F.col("id").between(100, 899)).select("id", "lon")
+    return delta.id_window(t("fx_nodes").select("id", "lon"), 100, 899)
 
 
 @query
@@ -425,7 +425,7 @@ def band_cells(t):
 @query
 def elevation_profile_steps(t):
     far = F.col("p_size") * 37
-    return t("part").select("p_partkey", F.explode(F.sequence(F.lit(0), far, F.lit(500))).alias("distance_m"))
+    return t("part").select("p_partkey", F.explode(public.profile_steps(far, 500)).alias("distance_m")).withColumn("distance_m", F.col("distance_m").cast("int"))
 
 
 @query
@@ -500,14 +500,12 @@ def golden_facts(t):
 
 @query
 def timing_by_category(t):
-    rows = t("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("avg_ms"), F.round(F.sum("value") / 1000, 6).alias("total_s"))
-    return rows.orderBy(F.desc("total_s"), "event_type")
+    return quality.timing(t("events"), "event_type", "value")
 
 
 @query
 def model_difference(t):
-    d = F.abs(F.col("s_acctbal") - F.col("s_suppkey") * 10)
-    return t("supplier").agg(F.round(F.avg(d), 6).alias("mean"), F.round(F.max(d), 6).alias("most"), F.count_if(d > 500).alias("outliers"))
+    return quality.model_difference(t("supplier").select("s_acctbal", (F.col("s_suppkey") * 10).alias("other")), "s_acctbal", "other", 500)
 
 
 # sinks and samples
@@ -544,7 +542,7 @@ def nodes_near_airports(t):
 @query
 def loaded_cells(t):
     """Cells of the declination grid per region that aren't computed yet, ten degrees a side."""
-    wanted = raster.box_tiles(regions(t).where("min_lon <= max_lon").select("name", "min_lon", "min_lat", "max_lon", "max_lat"), 10)
+    wanted = raster.box_tiles(regions(t).select("name", "min_lon", "min_lat", "max_lon", "max_lat"), 10)
     wanted = wanted.withColumn("tile", geo.tile_name(F.col("lat"), F.col("lon"), "cell"))
     done = t("nation").select(geo.tile_name((F.col("n_nationkey") % 12 * 10 - 60).cast("int"), (F.col("n_nationkey") * 10 - 120).cast("int"), "cell").alias("tile"))
     return raster.absent(wanted, done).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
