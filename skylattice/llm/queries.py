@@ -121,4 +121,5 @@ ORACLES: dict[str, str] = {
         select query_id, rank, vec_id, score from r where rank <= 10""",
     "op5_secrets": secrets.digest_sql(),
     "op6_url_ratio": urls.judge_sql(URL_RULES),
+    "op7_hilbert": sharding.shards_sql(24),
 }
