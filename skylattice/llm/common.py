@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,9 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (only where unset, as in tests) a temp folder."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or (only where unset, as in tests) a temp folder. On a cluster
+    it must be set, as a machine's own folder would be another one for each executor."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="skylattice-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
