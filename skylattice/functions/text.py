@@ -107,3 +107,38 @@ def json_limit(doc: Column, name: str) -> Column:
     """struct<value, unit, reference> of a nested altitude limit; numbers may be quoted, what is absent is null."""
     get = lambda k: F.get_json_object(doc, f"$.{name}.{k}")
     return F.struct(get("value").try_cast("double").alias("value"), get("unit").try_cast("int").alias("unit"), get("referenceDatum").try_cast("int").alias("reference"))
+
+
+def human_count(n: Column) -> Column:
+    """A count with one digit after the point, cut and not rounded, and K, M or B; as it is below a thousand."""
+    out = n.cast("string")
+    for size, letter in ((10**3, "K"), (10**6, "M"), (10**9, "B")):
+        tenths = F.floor(n / F.lit(size // 10)).cast("long")
+        out = F.when(n >= size, F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit(letter))).otherwise(out)
+    return out
+
+
+def duration(seconds: Column) -> Column:
+    """H:MM:SS, M:SS below an hour, seconds with a tenth below a minute."""
+    whole = F.floor(seconds).cast("long")
+    h, m, s = F.floor(whole / 3600).cast("long"), F.floor(whole % 3600 / 60).cast("long"), whole % 60
+    return F.when(seconds < 60, F.format_string("%.1fs", seconds)).when(h > 0, F.format_string("%d:%02d:%02d", h, m, s)).otherwise(F.format_string("%d:%02d", m, s))
+
+
+def csv_field(s: Column) -> Column:
+    """A field in quotes where it holds a comma, a quote or a line end; quotes are doubled, null is empty."""
+    text = F.coalesce(s, F.lit(""))
+    return F.when(text.rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+
+def shell_argument(s: Column) -> Column:
+    """In single quotes; a single quote within leaves them and comes back."""
+    return F.concat(F.lit("'"), F.replace(s, F.lit("'"), F.lit("'\\''")), F.lit("'"))
+
+
+def markup(s: Column) -> Column:
+    """Without characters that begin markup; null is empty."""
+    out = F.coalesce(s, F.lit(""))
+    for c, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        out = F.replace(out, F.lit(c), F.lit(entity))
+    return out

@@ -107,3 +107,16 @@ def sphere_points(spark, n: int, seed: int) -> DataFrame:
 def covered_sample(candidates: DataFrame, coverage: DataFrame, n: int, seed: int) -> DataFrame:
     """n candidates (id, cell) whose cell is covered: oversample, semi-join, take in hash order."""
     return seeded_sample(candidates.join(coverage.select("cell").distinct(), "cell", "left_semi"), n, seed)
+
+
+def covered_points(spark, coverage: DataFrame, n: int, seed: int, cell: float, most: int = 300) -> DataFrame:
+    """n points (id, lon, lat) over the sphere whose cell (cx, cy: degrees / cell) is covered; fewer if `most` draws a point don't find them.
+
+    Draws grow fourfold until enough are found, so there are at most five jobs."""
+    cells, draws = coverage.select("cx", "cy").distinct(), n
+    while True:
+        drawn = sphere_points(spark, draws, seed).withColumn("cx", geo.cell(F.col("lon"), cell)).withColumn("cy", geo.cell(F.col("lat"), cell))
+        found = drawn.join(cells, ["cx", "cy"], "left_semi").orderBy("id").limit(n)
+        if draws >= n * most or found.count() >= n:
+            return found.select("id", "lon", "lat")
+        draws = min(4 * draws, n * most)

@@ -13,7 +13,7 @@ from ..functions import geo, text, wkb
 from ..operators import quality, raster, regional, sinks, spatial, tags, ways
 from ..programs import bundles, checks
 from ..programs.importer import Import
-from ..sources import loaders, osm, terrain
+from ..sources import loaders, mirror, osm, terrain
 from . import public
 from .fixtures import folder, frame, with_views as w, write_extract, write_file
 from .oracles import C, CLOSED, EXCL, IN, MADE, N, TAGS, X, Y
@@ -741,3 +741,67 @@ def points_in_metres(spark, t):
     held = public.airspace_at_point(points, layers, srid=3857)
     count = lambda df, what: df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("point_id").alias("points")).select(L(what).alias("what"), "n", "points")
     return count(near, "obstacles").unionByName(count(held, "airspace"))
+
+
+@query("""with n as (select p_partkey id, cast(p_partkey as bigint) * p_partkey * 7919 n, p_partkey * 7.3::double s from part) select id,
+    case when n >= 1000000000 then (n // 1000000000) || '.' || (n % 1000000000 // 100000000) || 'B' when n >= 1000000 then (n // 1000000) || '.' || (n % 1000000 // 100000) || 'M'
+        when n >= 1000 then (n // 1000) || '.' || (n % 1000 // 100) || 'K' else cast(n as varchar) end said,
+    case when s < 60 then printf('%.1fs', s) when s >= 3600 then printf('%d:%02d:%02d', cast(floor(s) as bigint) // 3600, cast(floor(s) as bigint) % 3600 // 60, cast(floor(s) as bigint) % 60)
+        else printf('%d:%02d', cast(floor(s) as bigint) // 60, cast(floor(s) as bigint) % 60) end took from n""")
+def human_figures(spark, t):
+    k = F.col("p_partkey").cast("long")
+    return t("part").select(k.alias("id"), text.human_count(k * k * 7919).alias("said"), text.duration(k * F.lit(7.3)).alias("took"))
+
+
+@query(r"""select p_partkey id, case when p_partkey % 3 = 0 then '"' || p_name || ',""' || '"' else p_name end field, '''it''' || chr(92) || '''''s ' || p_name || '''' arg, 'a &lt;b&gt; &amp; ' || p_name said from part""")
+def quoted_text(spark, t):
+    name = F.col("p_name")
+    field = F.when(F.col("p_partkey") % 3 == 0, F.concat(name, L(',"'))).otherwise(name)
+    return t("part").select(F.col("p_partkey").alias("id"), text.csv_field(field).alias("field"), text.shell_argument(F.concat(L("it's "), name)).alias("arg"), text.markup(F.concat(L("a <b> & "), name)).alias("said"))
+
+
+@query("""with v as (select n_nationkey k, unnest(range(0, 48)) i from nation), b as (select k, i // 8 r, i % 8 c, cast(ceil(((i * 7 + k) % 20 - (select floor(min((i * 7 + k) % 20) / 4.0) * 4 from v where i % 5 <> 0)) / 4.0) as int) band from v where i % 5 <> 0),
+    z as (select *, case when lag(band) over o is distinct from band or lag(c) over o is distinct from c - 1 then 1 else 0 end first from b window o as (partition by k, r order by c))
+    select band, cast(sum(first) as bigint) n, cast(count(*) as double) area from z group by band""")
+def band_rectangles(spark, t):
+    """Bands as rectangles: their number, and their area in cells."""
+    cells = F.transform(F.sequence(L(0), L(47)), lambda i: F.when(i % 5 != 0, ((i * 7 + F.col("n_nationkey")) % 20).cast("double")))
+    tiles = t("nation").select(F.col("n_nationkey").cast("string").alias("tile_id"), (F.col("n_nationkey") * 10).cast("double").alias("x0"), L(6.0).alias("y0"), L(1.0).alias("dx"), L(1.0).alias("dy"), L(8).alias("w"), L(6).alias("h"), cells.alias("cells"))
+    wide = (F.col("ring")[2]["x"] - F.col("ring")[0]["x"]) * (F.col("ring")[2]["y"] - F.col("ring")[0]["y"])
+    return raster.band_rectangles(tiles, 4.0).groupBy("band").agg(F.count(L(1)).alias("n"), F.round(F.sum(wide), 6).alias("area"))
+
+
+@query(f"""{w('fx_regions')}, la as (select unnest(range(-60,75)) lat), lo as (select unnest(range(-180,180)) lon),
+    q as (select r.name, r.bit, lat, lon from fx_regions r cross join la cross join lo where case when min_lon<=max_lon then lon>=floor(min_lon) and lon<ceil(max_lon) else lon>=floor(min_lon) or lon<ceil(max_lon) end)
+    select name, count(*) n from q where not (bit = 0 and lon >= -125 and lon + 1 <= -100 and lat >= 25 and lat + 1 <= 49)
+        and not exists (select 1 from nation where n_nationkey = lat and n_nationkey * 3 = lon) group by name""")
+def global_sweep(spark, t):
+    done = t("nation").select(geo.tile_name(F.col("n_nationkey"), F.col("n_nationkey") * 3, "copernicus").alias("tile"))
+    first = t("fx_regions").where("bit = 0").first()["name"]
+    return raster.sweep(t("fx_regions"), done, (-125.0, 25.0, -100.0, 49.0), first).groupBy("name").agg(F.count(L(1)).alias("n"))
+
+
+@query("""select 'whole' as what, 'ok' said union all select 'short', 'partial' union all select 'long', 'too long' union all select 'old', 'stale' union all select 'other', 'corrupt' union all select 'absent', 'missing'""")
+def mirrored_files(spark, t):
+    import hashlib
+
+    data = "\n".join(r["n_name"] for r in t("nation").orderBy("n_nationkey").collect()).encode()
+    path, said = write_file(spark, f"{folder(spark)}/planet", data), hashlib.md5(data).hexdigest()
+    tries = {"whole": (path, len(data), 0, said), "short": (path, len(data) + 1, 0, said), "long": (path, len(data) - 1, 0, said), "old": (path, len(data), 1 << 40, said), "other": (path, len(data), 0, "0" * 32), "absent": (path + "-", len(data), 0, said)}
+    return spark.createDataFrame([(k, mirror.verify(spark, *v)) for k, v in tries.items()], "what string, said string")
+
+
+@query("""select 'stored' as what, cast(3857 as int) srid union all select 'other', 4326 union all select 'none', 3857""")
+def table_srids(spark, t):
+    points = F.array(F.struct(L(0.0).alias("x"), L(0.0).alias("y")), F.struct(F.col("n_nationkey").cast("double").alias("x"), L(1.0).alias("y")))
+    made = lambda srid: t("nation").select(wkb.from_points(points, L(False), srid).alias("g"))
+    rows = [("stored", wkb.common_srid(made(3857), "g")), ("other", wkb.common_srid(made(4326), "g")), ("none", wkb.common_srid(made(3857).where("g is null"), "g"))]
+    return spark.createDataFrame(rows, "what string, srid int")
+
+
+@query("select cast(40 as bigint) n, cast(0 as bigint) outside, cast(40 as bigint) ids from nation limit 1")
+def sphere_sample(spark, t):
+    """Points over the sphere that fall into covered cells, a sixth of it: drawn again until there are enough."""
+    cover = spark.range(72).selectExpr("cast(id % 36 as bigint) - 18 as cx", "cast(floor(id / 36) as bigint) as cy")
+    got = quality.covered_points(spark, cover, 40, 5, 10.0)
+    return got.agg(F.count(L(1)).alias("n"), F.count_if((F.col("lat") < 0) | (F.col("lat") >= 20)).alias("outside"), F.count_distinct("id").alias("ids"))
