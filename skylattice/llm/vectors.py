@@ -127,10 +127,11 @@ def near_pairs(vectors: DataFrame, at_least: float = 0.9, near: int = 8, shared:
         left, right = (np.flatnonzero(own == x) for x in (i, j))
         reps, copies = found.column("rep").to_numpy(), found.column("copies").to_numpy()
         near_ids = matrix(found.column("pivots"), k).astype(np.int64)
-        used, local = np.unique(near_ids, return_inverse=True)
+        used, local, n = np.unique(near_ids, return_inverse=True, return_counts=True)
+        # a shared pivot before this one counts 4096, one after it 1 (there are fewer than that); this one is shared by all, and single ones by none
         has = np.zeros((len(reps), len(used)), np.float32)
         has[np.arange(len(reps))[:, None], local.reshape(near_ids.shape)] = 1
-        before = has[:, used < pivot]
+        has = (has * np.where(used < pivot, np.float32(64), np.float32(1)))[:, (n > 1) & (used != pivot)]
         lengths = found.column("v").combine_chunks().value_lengths().to_numpy()
         m = unit(matrix(found.column("v"), int(lengths.max())))
         links, edges, same = np.zeros(len(reps), np.int64), [np.zeros((2, 0), np.int64)], i == j
@@ -138,7 +139,8 @@ def near_pairs(vectors: DataFrame, at_least: float = 0.9, near: int = 8, shared:
             a = left[a_at : a_at + 2048]
             for b_at in range(a_at if same else 0, len(right), 2048):
                 b, one = right[b_at : b_at + 2048], same and a_at == b_at
-                hit = (has[a] @ has[b].T >= need) & (before[a] @ before[b].T == 0) & (lengths[a][:, None] == lengths[b][None, :])
+                common = has[a] @ has[b].T
+                hit = (common >= need - 1) & (common < 4096) & (lengths[a][:, None] == lengths[b][None, :])
                 hit &= m[a] @ m[b].T >= at_least
                 if one:
                     np.fill_diagonal(hit, False)
