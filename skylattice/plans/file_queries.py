@@ -805,3 +805,6 @@ def sphere_sample(spark, t):
     cover = spark.range(72).selectExpr("cast(id % 36 as bigint) - 18 as cx", "cast(floor(id / 36) as bigint) as cy")
     got = quality.covered_points(spark, cover, 40, 5, 10.0)
     return got.agg(F.count(L(1)).alias("n"), F.count_if((F.col("lat") < 0) | (F.col("lat") >= 20)).alias("outside"), F.count_distinct("id").alias("ids"))
+
+
+ORACLES["declination_dipole"] = f"{w('fx_airports')}, pts as (select id, lon, lat from fx_airports), {FIELD} select id, round(decl, 4) declination from e"
