@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import html
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import geo
+
 
 def split_valid(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad rows with the column `reason`): a row is bad for the first check that isn't true for it."""
@@ -50,6 +53,21 @@ def analyze(spark: SparkSession, table: str, columns: list[str] | None = None) -
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS" + (f" FOR COLUMNS {', '.join(columns)}" if columns else ""))
 
 
+def write_by_cell(df: DataFrame, path: str, size: float, x: str = "x", y: str = "y", files: int = 64) -> None:
+    """What a spatial index is for a table: rows with their grid cell (cx, cy), laid out by it, so that readers of a box skip files and
+    row groups by their least and greatest cell. Rows without a place come first."""
+    cells = df.withColumn("cx", geo.cell(F.col(x), size)).withColumn("cy", geo.cell(F.col(y), size))
+    cells.repartitionByRange(files, "cx", "cy").sortWithinPartitions("cx", "cy").write.mode("overwrite").parquet(path)
+
+
+def read_box(spark: SparkSession, path: str, size: float, box: tuple[float, float, float, float], x: str = "x", y: str = "y") -> DataFrame:
+    """The rows of a table written by cell that lie in a box (least x, y, greatest x, y)."""
+    x0, y0, x1, y1 = box
+    at = lambda v: math.floor(v / size)
+    near = spark.read.parquet(path).where(F.col("cx").between(at(x0), at(x1)) & F.col("cy").between(at(y0), at(y1)))
+    return near.where(F.col(x).between(x0, x1) & F.col(y).between(y0, y1)).drop("cx", "cy")
+
+
 def write_shuffled(df: DataFrame, path: str, files: int) -> None:
     """A table that has no order of its own, over a given number of files."""
     df.repartition(files).write.mode("overwrite").parquet(path)

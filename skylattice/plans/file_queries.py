@@ -808,3 +808,24 @@ def sphere_sample(spark, t):
 
 
 ORACLES["declination_dipole"] = f"{w('fx_airports')}, pts as (select id, lon, lat from fx_airports), {FIELD} select id, round(decl, 4) declination from e"
+
+
+@query(f"{w('fx_nodes')}, {N} select id, round(x, 3) x, round(y, 3) y from n where x between -2000000 and 5000000 and y between -3000000 and 1000000")
+def rows_of_a_box(spark, t):
+    """A table laid out by grid cell, and a box of it."""
+    from .queries import nodes
+
+    path = f"{folder(spark)}/cells"
+    sinks.write_by_cell(nodes(t).select("id", "x", "y"), path, 500_000.0, files=8)
+    got = sinks.read_box(spark, path, 500_000.0, (-2_000_000.0, -3_000_000.0, 5_000_000.0, 1_000_000.0))
+    return got.select("id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+
+
+@query(f"{w('fx_nodes', 'fx_regions')}, {N}, {C} select c.id, round(c.lon, 7) lon, round(c.lat, 7) lat from c join fx_regions r on r.bit = 1 and {IN.format('c.')} where c.id % 3 = 0")
+def bundle_coordinates(spark, t):
+    """Lookups by id in the coordinates of one bundle, of which those inside the region are compared; vertices beyond it are there too."""
+    root, _ = bundled(spark, t)
+    r = t("fx_regions").where("bit = 1").first()
+    rows = bundles.read_coordinates(spark, f"{root}/{r['name']}").join(t("fx_nodes").where("id % 3 = 0").select("id"), "id", "left_semi")
+    inside = geo.in_range(F.col("lon"), L(r["min_lon"]), L(r["max_lon"])) & F.col("lat").between(r["min_lat"], r["max_lat"])
+    return rows.where(inside).select("id", F.round("lon", 7).alias("lon"), F.round("lat", 7).alias("lat"))

@@ -1,4 +1,5 @@
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -45,3 +46,22 @@ def test_grids(spark, tmp_path):
     assert sorted(r["tile_id"] for r in tiles.collect()) == ["N50/00000/00000", "N50/00000/00002"]
     ps = spark.createDataFrame([(1, 10.1, 50.9), (2, 11.4, 50.1), (3, 10.6, 50.1), (4, 10.6, 50.6)], "id long, lon double, lat double")
     assert {r["point_id"]: r["value"] for r in spatial.raster_values(ps, tiles, 1.0).collect()} == {1: 1.0, 2: 6.0, 4: 2.0}
+
+
+def test_statistics_reach_the_planner(spark):
+    name = "analyzed_table"
+    spark.sql(f"drop table if exists {name}")
+    spark.range(50).withColumnRenamed("id", "k").write.saveAsTable(name)
+    sinks.analyze(spark, name, ["k"])
+    said = {r["col_name"]: r["data_type"] for r in spark.sql(f"describe extended {name}").collect()}
+    assert "50 rows" in said["Statistics"]
+    assert {r["info_name"]: r["info_value"] for r in spark.sql(f"describe extended {name} k").collect()}["max"] == "49"
+    spark.sql(f"drop table {name}")
+
+
+def test_box_of_cells_skips_files(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id", "cast(id % 200 as double) x", "cast(floor(id / 200) as double) y")
+    sinks.write_by_cell(rows, str(tmp_path / "t"), 10.0, files=10)
+    got = sinks.read_box(spark, str(tmp_path / "t"), 10.0, (0.0, 0.0, 9.5, 9.5))
+    assert got.columns == ["id", "x", "y"] and got.count() == 100
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(cx", got._jdf.queryExecution().toString())
