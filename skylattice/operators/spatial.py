@@ -109,7 +109,7 @@ def few(regions: DataFrame) -> DataFrame:
     return regions
 
 
-BAND, FEW_EDGES = 0.25, 1_000_000
+BAND, WIDE_BAND, PLAIN_EDGES, FEW_EDGES = 0.25, 180.0, 1000, 1_000_000
 
 
 def region_edges(regions: DataFrame) -> DataFrame:
@@ -124,12 +124,12 @@ def region_edges(regions: DataFrame) -> DataFrame:
     return rows.select("bit", "part", F.col("e.a.x").alias("ax"), F.col("e.a.y").alias("ay"), F.col("e.b.x").alias("bx"), F.col("e.b.y").alias("by"))
 
 
-def banded_edges(regions: DataFrame) -> DataFrame:
+def banded_edges(regions: DataFrame, size: float = BAND) -> DataFrame:
     """(band, bit, edges): the edges that each band of latitude meets. A test along a parallel needs no others."""
     rows = region_edges(regions)
     if rows.count() > FEW_EDGES:
         raise ValueError(f"outlines of more than {FEW_EDGES} edges")  # 32 MB; what allows the broadcast
-    band = F.explode(F.sequence(geo.cell(F.least("ay", "by"), BAND), geo.cell(F.greatest("ay", "by"), BAND))).alias("band")
+    band = F.explode(F.sequence(geo.cell(F.least("ay", "by"), size), geo.cell(F.greatest("ay", "by"), size))).alias("band")
     spans = rows.select("bit", "ax", "ay", "bx", "by", band)
     return spans.groupBy("band", "bit").agg(F.collect_list(F.struct(F.struct(F.col("ax").alias("x"), F.col("ay").alias("y")).alias("a"), F.struct(F.col("bx").alias("x"), F.col("by").alias("y")).alias("b"))).alias("edges"))
 
@@ -156,8 +156,10 @@ def shape_mask(shapes: DataFrame, regions: DataFrame) -> DataFrame:
     vertices = shapes.select("id", F.explode("points").alias("p")).select("id", F.col("p.x").alias("lon"), F.col("p.y").alias("lat"))
     bit = F.expr("shiftleft(1L, cast(bit as int))")
     parts = shapes.select("id", F.explode(geo.edges(F.col("points"))).alias("e")).select("id", F.col("e.a.x").alias("px"), F.col("e.a.y").alias("py"), F.col("e.b.x").alias("qx"), F.col("e.b.y").alias("qy"))
-    parts = parts.select("*", F.explode(F.sequence(geo.cell(F.least("py", "qy"), BAND), geo.cell(F.greatest("py", "qy"), BAND))).alias("band"))
-    outline = F.broadcast(banded_edges(regions))
+    # plain outlines need no fine bands, which long edges would be repeated over
+    size = WIDE_BAND if region_edges(regions).count() <= PLAIN_EDGES else BAND
+    parts = parts.select("*", F.explode(F.sequence(geo.cell(F.least("py", "qy"), size), geo.cell(F.greatest("py", "qy"), size))).alias("band"))
+    outline = F.broadcast(banded_edges(regions, size))
     touch = lambda e: geo.segments_meet(F.col("px"), F.col("py"), F.col("qx"), F.col("qy"), e["a"]["x"], e["a"]["y"], e["b"]["x"], e["b"]["y"])
     crossed = parts.join(outline, "band").where(F.exists("edges", touch)).groupBy("id").agg(F.bit_or(bit).alias("mask"))
     # a ring around a part of a region holds every point of its outline: one of each is enough where no edges meet

@@ -575,14 +575,14 @@ def feed_relations(spark, t):
 
 # regions: shapes that meet them
 
-SHAPES = """sh as (select id, lon px, lat py, lon + 31 - id % 7 qx, lat + 17 - id % 5 qy from fx_airports),
+SHAPES = """sh as (select id, lon px, lat py, least(180.0::double, lon + 31 - id % 7) qx, lat + 17 - id % 5 qy from fx_airports),
     bx as (select bit, name, min_lon a, max_lon b, min_lat c, max_lat d from fx_regions where min_lon <= max_lon union all select bit, name, min_lon, 180, min_lat, max_lat from fx_regions where min_lon > max_lon
         union all select bit, name, -180, max_lon, min_lat, max_lat from fx_regions where min_lon > max_lon)"""
 CLIP = "greatest(0.0, least((a-px)/(qx-px), (b-px)/(qx-px)), least((c-py)/(qy-py), (d-py)/(qy-py))) <= least(1.0, greatest((a-px)/(qx-px), (b-px)/(qx-px)), greatest((c-py)/(qy-py), (d-py)/(qy-py)))"
 
 
 def long_lines(t) -> DataFrame:
-    p, q = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y")), F.struct((F.col("lon") + 31 - F.col("id") % 7).alias("x"), (F.col("lat") + 17 - F.col("id") % 5).alias("y"))
+    p, q = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y")), F.struct(F.least(L(180.0), F.col("lon") + 31 - F.col("id") % 7).alias("x"), (F.col("lat") + 17 - F.col("id") % 5).alias("y"))
     return t("fx_airports").select("id", F.array(p, q).alias("points"))
 
 
