@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from skylattice.operators import spatial
+from skylattice.plans import file_queries
 
 
 def test_radius_joins_broadcast_no_side(spark, tmp_path):
@@ -11,3 +12,16 @@ def test_radius_joins_broadcast_no_side(spark, tmp_path):
     near = spatial.within_distance(spark.read.parquet(str(tmp_path / "points")), spark.read.parquet(str(tmp_path / "targets")), 1.0, ["id"])
     assert near.count() == 148
     assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_written_by_executors(spark, monkeypatch):
+    """The driver sees no row: neither collect nor an iterator."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rows = spark.range(0, 1000, 1, 7).select(F.concat(F.lit("é"), F.col("id").cast("string")))
+    for call in ("collect", "toLocalIterator"):
+        monkeypatch.setattr(DataFrame, call, lambda *a, **k: 1 / 0)
+    path = file_queries.lines(spark, rows, ["a", "b"], "x.csv", "iso-8859-1")
+    monkeypatch.undo()
+    with open(path.removeprefix("file:"), "rb") as f:
+        assert f.read().decode("iso-8859-1").split("\n") == ["a", "b", *(f"é{i}" for i in range(1000)), ""]
