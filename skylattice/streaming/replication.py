@@ -35,6 +35,7 @@ SCHEMAS = {
     "roads": f"id long, tags map<string, string>, lines array<{POINTS}>",
 }
 
+CHANGE = ("kind", "id", "seq", "ord", "op", "tags", "lon", "lat", "refs", "members")
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -58,7 +59,7 @@ def _inside(regions: DataFrame | None, rows: DataFrame, lines) -> DataFrame:
 
 def changed_rows(tables: dict[str, DataFrame], changes: DataFrame, regions: DataFrame | None = None, cascade: bool = False) -> dict[str, tuple[DataFrame, DataFrame]]:
     """Per table (ids that are touched, rows that stand for them afterwards) of the changes (seq, ord, op, kind, id, tags, lon, lat, refs, members)."""
-    last = delta.last_changes(changes.select("kind", "id", "seq", "ord", "op", "tags", "lon", "lat", "refs", "members"), ["kind", "id"])
+    last = delta.last_changes(changes.select(*CHANGE), ["kind", "id"])
     out: dict[str, tuple[DataFrame, DataFrame]] = {}
 
     moved = spatial.project(last.where("kind = 'node'"))
@@ -201,7 +202,11 @@ class Replica:
             present = [r["seq"] for r in changes.where(F.col("seq") > sequence).select("seq").distinct().collect()]  # one a file
         run = run_of(sequence, present)
         if run:
-            touched = changed_rows(self.tables(), changes.where(F.col("seq").between(run[0], run[-1])), self.regions, self.cascade)
+            # files are parsed and collapsed once a batch; every table below reads what is left many times
+            last = delta.last_changes(changes.where(F.col("seq").between(run[0], run[-1])).select(*CHANGE), ["kind", "id"]).select(*CHANGE)
+            last.write.mode("overwrite").parquet(f"{self.root}/last")
+            last = self.spark.read.schema(last.schema).parquet(f"{self.root}/last")
+            touched = changed_rows(self.tables(), last, self.regions, self.cascade)
             for n, schema in SCHEMAS.items():
                 ids, rows = touched[n]
                 names = self.spark.createDataFrame([], schema).columns
@@ -220,11 +225,13 @@ class Replica:
         """One batch of change files (path, content) together with those that wait; what lies behind a gap waits on."""
         seq = osm.sequence(F.col("path"))
         waiting = self._read("waiting", "seq long, path string, content binary")
-        come = files.select(seq.alias("seq"), "path", "content").where("seq is not null")
+        come = files.select(seq.alias("seq"), "path", "content", F.lit(1).alias("new")).where("seq is not null")
         if waiting is not None:
-            come = come.unionByName(waiting)
-        come = come.where(F.col("seq") > self.state()[1]).dropDuplicates(["seq"])
-        come.write.mode("overwrite").parquet(f"{self.root}/arrived")  # a stream's rows are read more than once
+            come = come.unionByName(waiting.withColumn("new", F.lit(0)))
+        come = come.where(F.col("seq") > self.state()[1])
+        # of a sequence that came twice one file counts; contents aren't sorted for that, and lie in small row groups, as each is read whole
+        come = come.join(F.broadcast(come.groupBy("seq").agg(F.min(F.struct("new", "path")).alias("one")).select("seq", "one.*")), ["seq", "new", "path"])
+        come.drop("new").write.mode("overwrite").option("parquet.block.size", 8 << 20).parquet(f"{self.root}/arrived")  # a stream's rows are read more than once
         come = self.spark.read.schema("seq long, path string, content binary").parquet(f"{self.root}/arrived")
         left = self.apply(osm.changes(come), [r["seq"] for r in come.select("seq").collect()])
         come.where(F.col("seq").isin(left) if left else F.lit(False)).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/waiting")

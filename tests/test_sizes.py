@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from skylattice.operators import spatial
 from skylattice.plans import file_queries, fixtures
 from skylattice.sources import osm
+from skylattice.streaming import replication
 
 
 def test_radius_joins_broadcast_no_side(spark, tmp_path):
@@ -38,3 +39,25 @@ def test_blobs_are_bounded(spark, monkeypatch):
     assert len(held) == 30 and [held.index(starts[n]) for n in range(6)] == [0, 5, 10, 15, 20, 25]
     assert sorted(r["id"] for r in osm.read_extract(spark, path).collect()) == list(range(300))
     assert {r["id"] % 6 for r in osm.read_extract(spark, path, starts[3]).collect()} == {3, 4, 5}
+
+
+def test_change_files_are_bounded(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(file_queries, "EVENTS", 3)
+    rows = spark.range(100).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("user_id"), F.lit("click").alias("event_type"))
+    root = file_queries.change_files(spark, lambda name: rows)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.osc*").load(root)
+    got = osm.changes(files).where("kind = 'node'").groupBy("seq").agg(F.count(F.lit(1)).alias("n"), F.max("ord").alias("last"), F.element_at(F.max_by("tags", "ord"), "name").alias("name")).collect()
+    assert {r["seq"]: (r["n"], r["name"]) for r in got} == {k + 1: (min(3, 100 - 3 * k), f"n{min(99, 3 * k + 2)} & co") for k in range(34)}
+    assert files.count() == 35
+
+
+def test_a_batch_parses_its_files_once(spark, monkeypatch, tmp_path):
+    """What the tables are made from is the collapsed table, not the files."""
+    seen, real = [], replication.changed_rows
+    monkeypatch.setattr(replication, "changed_rows", lambda tables, changes, *a: seen.append(changes) or real(tables, changes, *a))
+    path = fixtures.write_file(spark, f"{tmp_path}/in/000/000/001.osc", b'<osmChange><create><node id="1" lon="1" lat="2"><tag k="name" v="a"/></node></create></osmChange>')
+    files = spark.read.format("binaryFile").load(path)
+    replica = replication.Replica(spark, f"{tmp_path}/db")
+    replica.apply_files(files.unionByName(files))
+    assert "MapInPandas" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["id"], r["tags"]) for r in replica.tables()["nodes"].collect()] == [(1, {"name": "a"})]
